@@ -90,7 +90,7 @@ def exact_quantile(
         .withColumn("_last", F.col("_before") + F.sum("c._n").over(inside))
         .select(
             *[F.col(f"c.{k}").alias(k) for k in keys],
-            F.col(f"c.{value}").cast("double").alias("_value"),
+            F.col(f"c.{value}").alias("_value"),
             (F.col("_last") - F.col("c._n")).alias("_first"),
             "_last",
             "_low",
@@ -102,10 +102,14 @@ def exact_quantile(
     def at(rank: str) -> Column:
         return F.max(F.when((F.col("_first") <= F.col(rank)) & (F.col(rank) < F.col("_last")), F.col("_value")))
 
+    part = F.col("_part")
+    if df.schema[value].dataType.typeName() == "decimal":
+        part = part.cast("decimal(10,9)")  # the middle of two amounts is then exact
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part
     return (
         ranked.groupBy(*keys)
         .agg(at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_part").alias("_part"))
-        .select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias(name))
+        .select(*keys, between.cast("double").alias(name))
     )
 
 
