@@ -95,7 +95,8 @@ def suburbs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.dim_place(areas(spark, sf_dir), suburbs(spark, sf_dir))
+    """Places written once, as in a warehouse, so that joins know their size."""
+    return written_once(gold.dim_place(areas(spark, sf_dir), suburbs(spark, sf_dir)), "places")
 
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts (shape, format), and the label of a monthly delivery.
+# Accepted date layouts (shape, order of its parts as year-month-day), and the label
+# of a monthly delivery.
 DATE_LAYOUTS: tuple[tuple[str, str], ...] = (
-    (r"^\d{4}-\d{2}-\d{2}\z", "yyyy-MM-dd"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}\z", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}\z", "d-M-yyyy"),
+    (r"^(\d{4})-(\d{2})-(\d{2})\z", "$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})\z", "$3-$2-$1"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})\z", "$3-$2-$1"),
 )
 PERIOD_LABEL_SHAPE = r"^(0[1-9]|1[0-2])_\d{4}\z"
 PERIOD_LABEL_FORMAT = "MM_yyyy"
@@ -20,10 +21,17 @@ PERIOD_LABEL_FORMAT = "MM_yyyy"
 def parse_date_multi(
     c: Column, layouts: Sequence[tuple[str, str]] = DATE_LAYOUTS
 ) -> Column:
-    """Date from any of the layouts; NULL when none fits or the day does not exist."""
+    """Date from any of the layouts; NULL when none fits or the day does not exist.
+
+    The parts are put in year-month-day order and cast: several times cheaper per value than
+    a date formatter.
+    """
     text = F.trim(c)
     return F.coalesce(
-        *[F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in layouts]
+        *[
+            F.when(text.rlike(shape), F.regexp_replace(text, shape, order).try_cast("date"))
+            for shape, order in layouts
+        ]
     )
 
 

@@ -80,4 +80,5 @@ def raw_listings(warehouse: Warehouse) -> DataFrame:
 
 
 def raw_reference(warehouse: Warehouse, table: str) -> DataFrame:
-    return warehouse.read(f"bronze.{table}", text_schema(REFERENCE_FILES[table].columns))
+    columns = REFERENCE_FILES[table].columns
+    return warehouse.read(f"bronze.{table}", text_schema(columns)).select(*columns)

@@ -24,8 +24,8 @@ def read_positional_csv(
 
     Fully blank rows are dropped. A row with too few cells fails the job that reads it. Cells
     beyond the last column are cut with ``cut_extra`` and fail the job otherwise. Empty cells,
-    quoted or not, are NULL; quotes inside a quoted cell are doubled; a byte-order mark is
-    ignored.
+    quoted or not, are NULL; quotes inside a quoted cell are doubled; a line break inside one
+    reads as a single newline; a byte-order mark is ignored.
 
     ``path`` may be a file or a folder of files. Cells may hold line breaks, so each file is
     read by one task; deliver large periods as a folder of files, or pass ``multiline=False``
