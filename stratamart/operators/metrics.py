@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.functions.numbers import percent_change, percent_of
 
-# Values within 0.1 percent of each other share a bucket; about 700 buckets per factor of two.
+# Large values within 0.1 percent of each other share a bucket.
 _BUCKETS_PER_E_FOLD = 1024
 
 
@@ -34,18 +33,8 @@ class MetricColumns:
     revenue: str = "est_revenue_30"
 
 
-def _ordered_bucket(value: str) -> Column:
-    """Bucket number that never falls as the value rises."""
-    x = F.col(value).cast("double")
-    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(_BUCKETS_PER_E_FOLD))
-
-
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Equality on all columns, where NULL groups match each other."""
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns],
-    )
+def _listed(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
 def exact_quantile(
@@ -53,63 +42,52 @@ def exact_quantile(
 ) -> DataFrame:
     """Interpolated quantile of the non-NULL values of each group, without collecting a group.
 
-    Values are counted per (group, value), then per (group, bucket) of neighbouring values.
-    The bucket counts tell which one or two buckets hold the wanted ranks; only those buckets
-    are looked at value by value. A group is thus spread over as many tasks as it has values,
-    and the ordered passes see bucket counts or the values of a single bucket.
+    Values are counted per (group, value), then per (group, bucket) of neighbouring values; the
+    bucket number never falls as the value rises. The bucket counts tell which one or two buckets
+    hold the wanted ranks; only those buckets are looked at value by value. A group is thus
+    spread over as many tasks as it has values, and the ordered passes see bucket counts or the
+    values of a single bucket.
     """
-    keys = list(keys)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", _ordered_bucket(value))
-    )
-    group = Window.partitionBy(*keys)
-    position = (F.col("_total") - 1) * F.lit(q)
-    wanted = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in_bucket"))
-        .withColumn("_upto", F.sum("_in_bucket").over(group.orderBy("_bucket")))
-        .withColumn("_total", F.sum("_in_bucket").over(group))
-        .select(
-            *keys,
-            "_bucket",
-            (F.col("_upto") - F.col("_in_bucket")).alias("_before"),
-            "_upto",
-            F.floor(position).alias("_low"),
-            F.ceil(position).alias("_high"),
-            (position - F.floor(position)).alias("_part"),
+    is_decimal = df.schema[value].dataType.typeName() == "decimal"
+    part = "cast(part AS decimal(10,9))" if is_decimal else "part"  # exact middle of amounts
+    group = _listed(keys)
+    same_group = " AND ".join(f"c.`{k}` <=> w.`{k}`" for k in keys)
+    return df.sparkSession.sql(
+        f"""
+        WITH counts AS (
+          SELECT *, floor(signum(x) * log1p(abs(x)) * {_BUCKETS_PER_E_FOLD}) AS bucket
+          FROM (
+            SELECT {group}, `{value}` AS value, cast(`{value}` AS double) AS x, count(*) AS n
+            FROM {{df}} WHERE `{value}` IS NOT NULL GROUP BY {group}, `{value}`
+          )
+        ),
+        buckets AS (
+          SELECT {group}, bucket, n,
+                 sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto,
+                 (sum(n) OVER (PARTITION BY {group}) - 1) * {q}D AS position
+          FROM (SELECT {group}, bucket, sum(n) AS n FROM counts GROUP BY {group}, bucket)
+        ),
+        wanted AS (
+          SELECT {group}, bucket, upto - n AS before, floor(position) AS low,
+                 ceil(position) AS high, position - floor(position) AS part
+          FROM buckets WHERE upto > floor(position) AND upto - n <= ceil(position)
+        ),
+        ranked AS (
+          SELECT {", ".join(f"c.`{k}`" for k in keys)}, value, n, low, high, part,
+                 before + sum(n) OVER (
+                   PARTITION BY {", ".join(f"c.`{k}`" for k in keys)}, c.bucket ORDER BY value
+                 ) AS upto
+          FROM counts c JOIN wanted w ON {same_group} AND c.bucket = w.bucket
+        ),
+        ends AS (
+          SELECT {group}, max(part) AS part,
+                 max(CASE WHEN upto - n <= low AND low < upto THEN value END) AS lower,
+                 max(CASE WHEN upto - n <= high AND high < upto THEN value END) AS upper
+          FROM ranked GROUP BY {group}
         )
-        .where("_upto > _low AND _before <= _high")
-    )
-    inside = Window.partitionBy(*[f"c.{k}" for k in keys], "c._bucket").orderBy(f"c.{value}")
-    ranked = (
-        counts.alias("c")
-        .join(wanted.alias("w"), _same("c", "w", [*keys, "_bucket"]))
-        .withColumn("_last", F.col("_before") + F.sum("c._n").over(inside))
-        .select(
-            *[F.col(f"c.{k}").alias(k) for k in keys],
-            F.col(f"c.{value}").alias("_value"),
-            (F.col("_last") - F.col("c._n")).alias("_first"),
-            "_last",
-            "_low",
-            "_high",
-            "_part",
-        )
-    )
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("_first") <= F.col(rank)) & (F.col(rank) < F.col("_last")), F.col("_value")))
-
-    part = F.col("_part")
-    if df.schema[value].dataType.typeName() == "decimal":
-        part = part.cast("decimal(10,9)")  # the middle of two amounts is then exact
-    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part
-    return (
-        ranked.groupBy(*keys)
-        .agg(at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_part").alias("_part"))
-        .select(*keys, between.cast("double").alias(name))
+        SELECT {group}, cast(lower + (upper - lower) * {part} AS double) AS `{name}` FROM ends
+        """,
+        df=df,
     )
 
 
@@ -117,14 +95,14 @@ def distinct_members(
     df: DataFrame, keys: Sequence[str], member: str, featured: str
 ) -> DataFrame:
     """Distinct members and distinct members with the flag set, per group."""
-    per_member = df.groupBy(*keys, member).agg(F.max(F.col(featured).cast("int")).alias("_flag"))
-    return per_member.groupBy(*keys).agg(*_member_counts(member))
+    per_member = df.groupBy(*keys, member).agg(F.expr(f"max(int(`{featured}`)) AS _flag"))
+    return per_member.groupBy(*keys).agg(*map(F.expr, _member_counts(member)))
 
 
-def _member_counts(member: str) -> list[Column]:
+def _member_counts(member: str) -> list[str]:
     return [
-        F.count(member).alias("hosts_total"),
-        F.count(F.when(F.col("_flag") == 1, F.col(member))).alias("hosts_super"),
+        f"count(`{member}`) AS hosts_total",
+        f"count(CASE WHEN _flag = 1 THEN `{member}` END) AS hosts_super",
     ]
 
 
@@ -138,48 +116,45 @@ def group_metrics(
     Counts of active and inactive rows leave out rows whose flag is NULL.
     """
     c = columns or MetricColumns()
-    keys = list(keys)
-    active = F.col(c.active)
-
-    def if_active(name: str) -> Column:
-        return F.when(active, F.col(name))
-
-    partial = df.groupBy(*keys, c.member).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(active.cast("int")).alias("_active"),
-        F.sum((~active).cast("int")).alias("_inactive"),
-        F.max(F.col(c.featured).cast("int")).alias("_flag"),
-        F.min(if_active(c.price)).alias("_min_price"),
-        F.max(if_active(c.price)).alias("_max_price"),
-        F.sum(if_active(c.price)).alias("_price"),
-        F.count(if_active(c.price)).alias("_prices"),
-        F.sum(if_active(c.rating)).alias("_rating"),
-        F.count(if_active(c.rating)).alias("_ratings"),
-        F.sum(if_active(c.units)).alias("_units"),
-        F.sum(if_active(c.revenue)).alias("_revenue"),
-        F.count(if_active(c.revenue)).alias("_revenues"),
-    )
-    median = exact_quantile(df.where(active), keys, c.price, "_median")
-
-    def mean(total: str, n: str) -> Column:
-        return F.sum(total).cast("double") / F.nullif(F.sum(n), F.lit(0))
-
+    partial = [
+        "count(1) AS _rows",
+        f"sum(int(`{c.active}`)) AS _active",
+        f"sum(int(NOT `{c.active}`)) AS _inactive",
+        f"max(int(`{c.featured}`)) AS _flag",
+        *[
+            f"{function}(CASE WHEN `{c.active}` THEN `{column}` END) AS {name}"
+            for function, column, name in (
+                ("min", c.price, "_min_price"),
+                ("max", c.price, "_max_price"),
+                ("sum", c.price, "_price"),
+                ("count", c.price, "_prices"),
+                ("sum", c.rating, "_rating"),
+                ("count", c.rating, "_ratings"),
+                ("sum", c.units, "_units"),
+                ("sum", c.revenue, "_revenue"),
+                ("count", c.revenue, "_revenues"),
+            )
+        ],
+    ]
+    final = [
+        "sum(_rows) AS listings_total",
+        "sum(_active) AS listings_active",
+        "sum(_inactive) AS listings_inactive",
+        "min(_min_price) AS min_price_active",
+        "max(_max_price) AS max_price_active",
+        "max(_median) AS median_price_active",
+        "double(sum(_price)) / nullif(sum(_prices), 0) AS avg_price_active",
+        *_member_counts(c.member),
+        "double(sum(_rating)) / nullif(sum(_ratings), 0) AS avg_rating_active",
+        "sum(_units) AS total_stays_active",
+        "double(sum(_revenue)) / nullif(sum(_revenues), 0) AS avg_est_revenue_active",
+    ]
+    per_member = df.groupBy(*keys, c.member).agg(*map(F.expr, partial))
+    median = exact_quantile(df.where(f"`{c.active}`"), keys, c.price, "_median")
     return (
-        partial.unionByName(median, allowMissingColumns=True)
+        per_member.unionByName(median, allowMissingColumns=True)
         .groupBy(*keys)
-        .agg(
-            F.sum("_rows").alias("listings_total"),
-            F.sum("_active").alias("listings_active"),
-            F.sum("_inactive").alias("listings_inactive"),
-            F.min("_min_price").alias("min_price_active"),
-            F.max("_max_price").alias("max_price_active"),
-            F.max("_median").alias("median_price_active"),
-            mean("_price", "_prices").alias("avg_price_active"),
-            *_member_counts(c.member),
-            mean("_rating", "_ratings").alias("avg_rating_active"),
-            F.sum("_units").alias("total_stays_active"),
-            mean("_revenue", "_revenues").alias("avg_est_revenue_active"),
-        )
+        .agg(*map(F.expr, final))
     )
 
 

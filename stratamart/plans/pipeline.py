@@ -103,8 +103,8 @@ def build(
     warehouse: Warehouse,
     changed: Iterable[dt.date] | None = None,
     history: str = "newest",
-) -> dict[str, DataFrame]:
-    """Bring all layers up to date and return the tables by name.
+) -> None:
+    """Bring all layers up to date.
 
     ``changed`` names the files (re)loaded since the last build; only the months they touch
     are recomputed. Without it, or after the reference tables changed, everything is.
@@ -133,7 +133,6 @@ def build(
         rebuild_snapshot(warehouse, _LISTING_HISTORY, gold.listing_versions(published))
         rebuild_snapshot(warehouse, _HOST_HISTORY, gold.host_versions(published))
     _refresh_fact(warehouse, months, until)
-    return tables(warehouse)
 
 
 def tables(warehouse: Warehouse) -> dict[str, DataFrame]:

@@ -14,6 +14,8 @@ SETTINGS = {
     # strict casts: malformed text fails the run
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # call sites of columns are not needed; looking them up slows building large plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
