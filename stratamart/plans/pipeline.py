@@ -20,9 +20,10 @@ from stratamart.sources.bronze import (
 )
 from stratamart.sources.periods import discover_periods
 from stratamart.sources.results import write_result_csv
-from stratamart.sources.tables import Warehouse, slice_values
+from stratamart.sources.tables import Warehouse, even_files, slice_values
 
 _SILVER = "silver.silver_listings"
+_FILE_MONTHS = "silver.file_months"
 _FACT = "gold.fact_listing_monthly"
 _LISTING_HISTORY = "silver.snap_dim_listing"
 _HOST_HISTORY = "silver.snap_dim_host"
@@ -37,26 +38,44 @@ def _months_of(rows: DataFrame, month: str) -> set[dt.date]:
     return set(slice_values(rows, month))
 
 
-def _refresh_silver(warehouse: Warehouse, changed: Iterable[dt.date] | None) -> set | None:
+def _file_months(typed: DataFrame) -> DataFrame:
+    """Which months the rows of each file belong to: a few pairs per file."""
+    return typed.select("month_key", "load_month").distinct()
+
+
+def _pairs(file_months: DataFrame) -> set[tuple[dt.date, dt.date]]:
+    return {(r.load_month, r.month_key) for r in file_months.collect()}
+
+
+def _refresh_silver(
+    warehouse: Warehouse, changed: Iterable[dt.date] | None
+) -> set[dt.date] | None:
     """Rebuild silver, or only the months that the changed files touch.
 
-    Returns the months rewritten, or None when everything was.
+    A month's rows can lie in several files. The stored list of file months tells which, so a
+    partial refresh reads the changed files and those sharing a month with them, not the whole
+    raw table. Returns the months rewritten, or None when everything was.
     """
     typed = silver.typed_listings(raw_listings(warehouse))
-    if changed is not None and warehouse.exists(_SILVER):
-        files = F.col("load_month").isin(list(changed))
-        now = _months_of(typed.where(files), "month_key")
-        before = _months_of(warehouse.read(_SILVER).where(files), "month_key")
-        gone = before - now
-        # a month that lost its last row has no new slice to replace the old one with
-        if not gone or gone <= _months_of(
-            typed.where(F.col("month_key").isin(list(gone))), "month_key"
-        ):
-            months = now | before
-            rows = typed.where(F.col("month_key").isin(list(months)))
-            warehouse.replace(_SILVER, silver.latest_listings(rows), "month_key")
+    if changed is not None and warehouse.exists(_SILVER) and warehouse.exists(_FILE_MONTHS):
+        files = set(changed)
+        stored = _pairs(warehouse.read(_FILE_MONTHS))
+        found = _file_months(typed.where(F.col("load_month").isin(list(files))))
+        now = _pairs(found)
+        others = {pair for pair in stored if pair[0] not in files}
+        months = {month for file, month in stored | now if file in files}
+        present = {month for _, month in others | now}
+        # a month or file left without rows has no new slice to replace its old one with
+        if months <= present and files <= {file for file, _ in now}:
+            needed = files | {file for file, month in others if month in months}
+            rows = typed.where(
+                F.col("load_month").isin(list(needed)) & F.col("month_key").isin(list(months))
+            )
+            warehouse.replace(_SILVER, even_files(silver.latest_listings(rows), "month_key"), "month_key")
+            warehouse.replace(_FILE_MONTHS, found, "load_month")
             return months
     warehouse.rebuild(_SILVER, silver.latest_listings(typed), "month_key")
+    warehouse.rebuild(_FILE_MONTHS, _file_months(typed), "load_month")
     return None
 
 
@@ -73,7 +92,7 @@ def _refresh_fact(warehouse: Warehouse, months: set | None, until: dt.date) -> N
     if due:
         rows = listings.where(F.col("month_key").isin(due))
         fact = gold.fact_listing_monthly(rows, places, until)
-        warehouse.replace(_FACT, fact, "snap_month")
+        warehouse.replace(_FACT, even_files(fact, "snap_month"), "snap_month")
 
 
 def build_reference(warehouse: Warehouse) -> None:

@@ -79,7 +79,8 @@ def built(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("built")
     deliveries = write_deliveries(folder / "in")
     warehouse = Warehouse(spark, str(folder / "warehouse"))
-    loaded = pipeline.backfill(warehouse, deliveries)
+    loaded = pipeline.backfill(warehouse, deliveries, checked=False)
+    pipeline.check(warehouse)
     return warehouse, deliveries, loaded, state(warehouse)
 
 
