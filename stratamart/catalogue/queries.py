@@ -21,7 +21,6 @@ from stratamart.catalogue.stand_in import (
     silver_table,
     suburbs,
     table,
-    with_part,
 )
 from stratamart.operators import metrics, quality
 from stratamart.operators.history import as_dimension, merge_versions, versions_from_history
@@ -504,8 +503,9 @@ def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def _listing_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temporal joins stored once: marts read their input for the metrics and for medians."""
     fact, listings, hosts, last = _gold(spark, sf_dir)
-    return gold.int_listing_month(fact, listings, hosts, last)
+    return written_once(gold.int_listing_month(fact, listings, hosts, last), "listing-month")
 
 
 def temporal_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -563,9 +563,7 @@ def unmapped_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows with measures and part attributes, for the metric operators on their own."""
-    return gold.with_measures(
-        with_part(silver(spark, sf_dir), spark, sf_dir)
-    ).withColumnRenamed("month_key", "month")
+    return gold.with_measures(silver_table(spark, sf_dir)).withColumnRenamed("month_key", "month")
 
 
 def mart_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,10 @@ CHANGES = {"listings_active": "pct_change_active", "listings_inactive": "pct_cha
 
 
 def listing_mart(listing_month: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Metric set per group and month, with rates and change against the group's last month."""
+    """Metric set per group and month, with rates and change against the group's last month.
+
+    ``listing_month`` is read twice, for the metrics and for medians: pass a stored table.
+    """
     metrics = with_changes(
         with_rates(group_metrics(listing_month, [*keys, "month"])), keys, "month", CHANGES
     )

@@ -25,6 +25,7 @@ from stratamart.sources.tables import Warehouse, even_files, slice_values
 _SILVER = "silver.silver_listings"
 _FILE_MONTHS = "silver.file_months"
 _FACT = "gold.fact_listing_monthly"
+_LISTING_MONTH = "gold.int_listing_month"
 _LISTING_HISTORY = "silver.snap_dim_listing"
 _HOST_HISTORY = "silver.snap_dim_host"
 
@@ -59,19 +60,19 @@ def _refresh_silver(
     typed = silver.typed_listings(raw_listings(warehouse))
     if changed is not None and warehouse.exists(_SILVER) and warehouse.exists(_FILE_MONTHS):
         files = set(changed)
-        stored = _pairs(warehouse.read(_FILE_MONTHS))
         found = _file_months(typed.where(F.col("load_month").isin(list(files))))
-        now = _pairs(found)
-        others = {pair for pair in stored if pair[0] not in files}
-        months = {month for file, month in stored | now if file in files}
-        present = {month for _, month in others | now}
+        pairs = _pairs(found)
+        stored = _pairs(warehouse.read(_FILE_MONTHS))
+        months = {month for file, month in stored | pairs if file in files}
+        needed = files | {file for file, month in stored if month in months}
+        rows = typed.where(
+            F.col("load_month").isin(list(needed)) & F.col("month_key").isin(list(months))
+        )
+        latest = even_files(silver.latest_listings(rows), "month_key")
         # a month or file left without rows has no new slice to replace its old one with
-        if months <= present and files <= {file for file, _ in now}:
-            needed = files | {file for file, month in others if month in months}
-            rows = typed.where(
-                F.col("load_month").isin(list(needed)) & F.col("month_key").isin(list(months))
-            )
-            warehouse.replace(_SILVER, even_files(silver.latest_listings(rows), "month_key"), "month_key")
+        if files == {file for file, _ in pairs} and (
+            warehouse.replace(_SILVER, latest, "month_key").slices == months
+        ):
             warehouse.replace(_FILE_MONTHS, found, "load_month")
             return months
     warehouse.rebuild(_SILVER, silver.latest_listings(typed), "month_key")
@@ -79,20 +80,47 @@ def _refresh_silver(
     return None
 
 
-def _refresh_fact(warehouse: Warehouse, months: set | None, until: dt.date) -> None:
+def _refresh_fact(
+    warehouse: Warehouse, months: set[dt.date] | None, until: dt.date
+) -> set[dt.date] | None:
+    """Rebuild the fact, or its rewritten and newly published months. Returns them likewise."""
     listings = warehouse.read(_SILVER)
     places = warehouse.read("gold.dim_place")
     if months is None or not warehouse.exists(_FACT):
         fact = gold.fact_listing_monthly(listings, places, until)
         warehouse.rebuild(_FACT, fact, "snap_month")
-        return
+        return None
     stored = _months_of(warehouse.read(_FACT), "snap_month")
     unpublished = _months_of(listings, "month_key") - stored
-    due = sorted(m for m in months | unpublished if m <= until)
+    due = {m for m in months | unpublished if m <= until}
     if due:
-        rows = listings.where(F.col("month_key").isin(due))
+        rows = listings.where(F.col("month_key").isin(list(due)))
         fact = gold.fact_listing_monthly(rows, places, until)
         warehouse.replace(_FACT, even_files(fact, "snap_month"), "snap_month")
+    return due
+
+
+def _refresh_listing_month(
+    warehouse: Warehouse, months: set[dt.date] | None, until: dt.date
+) -> None:
+    """Store the fact with its attributes, so the temporal joins run once for all marts.
+
+    Merging the newest month into the history changes what is valid from that month on, so with
+    the rewritten months that one is refreshed.
+    """
+    fact = warehouse.read(_FACT)
+    listings = gold.dim_listing(warehouse.read(_LISTING_HISTORY))
+    hosts = gold.dim_host(warehouse.read(_HOST_HISTORY))
+    if months is not None and warehouse.exists(_LISTING_MONTH):
+        due = months | {until}
+        rows = gold.int_listing_month(
+            fact.where(F.col("snap_month").isin(list(due))), listings, hosts, until
+        )
+        replaced = warehouse.replace(_LISTING_MONTH, even_files(rows, "month"), "month")
+        if replaced.slices == due:
+            return
+    whole = gold.int_listing_month(fact, listings, hosts, until)
+    warehouse.rebuild(_LISTING_MONTH, whole, "month")
 
 
 def build_reference(warehouse: Warehouse) -> None:
@@ -151,7 +179,8 @@ def build(
         published = listings.where(F.col("month_key") <= F.lit(until))
         rebuild_snapshot(warehouse, _LISTING_HISTORY, gold.listing_versions(published))
         rebuild_snapshot(warehouse, _HOST_HISTORY, gold.host_versions(published))
-    _refresh_fact(warehouse, months, until)
+    months = _refresh_fact(warehouse, months, until)
+    _refresh_listing_month(warehouse, months if history == "newest" else None, until)
 
 
 def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -176,12 +205,13 @@ def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
         "gold.dim_census_g01",
         "gold.dim_census_g02",
         _FACT,
+        _LISTING_MONTH,
     ):
         found[name] = warehouse.read(name)
     fact, places = found[_FACT], found["gold.dim_place"]
-    listings = found["gold.dim_listing"] = gold.dim_listing(found[_LISTING_HISTORY])
+    found["gold.dim_listing"] = gold.dim_listing(found[_LISTING_HISTORY])
     hosts = found["gold.dim_host"] = gold.dim_host(found[_HOST_HISTORY])
-    month = found["gold.int_listing_month"] = gold.int_listing_month(fact, listings, hosts, until)
+    month = found[_LISTING_MONTH]
     found["gold.dm_listing_neighbourhood"] = marts.dm_listing_neighbourhood(month)
     found["gold.dm_property_type"] = marts.dm_property_type(month)
     found["gold.dm_host_neighbourhood"] = marts.dm_host_neighbourhood(fact, hosts, places, until)

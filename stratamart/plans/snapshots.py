@@ -45,7 +45,7 @@ def advance_snapshot(
         F.col("valid_to").isNull() | (F.col("valid_to") == F.lit(now))
     )
     merged = merge_versions(touched, incoming, key, period)
-    return warehouse.replace(table, even_files(merged, "valid_to"), "valid_to")
+    return warehouse.replace(table, even_files(merged, "valid_to"), "valid_to").rows
 
 
 def rebuild_snapshot(warehouse: Warehouse, table: str, versions: DataFrame) -> DataFrame:

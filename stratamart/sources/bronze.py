@@ -47,7 +47,7 @@ def load_listings_period(
             "load_month", F.lit(period)
         ),
         "load_month",
-    )
+    ).rows
     if rows == 0:
         raise ValueError(f"no data rows for {period:%Y-%m}; the stored month is kept")
     return rows
@@ -69,7 +69,7 @@ def load_reference(warehouse: Warehouse, source: str, table: str) -> int:
     )
     rows = warehouse.replace(
         f"bronze.{table}", delivery.withColumn(_SLICE, F.lit("current")), _SLICE
-    )
+    ).rows
     if rows == 0:
         raise ValueError(f"no data rows for {table}; the stored table is kept")
     return rows

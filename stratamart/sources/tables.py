@@ -10,6 +10,7 @@ missing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +19,30 @@ from pyspark.sql.types import StructType
 LAYERS = ("bronze", "silver", "gold")
 
 
-def replace_slices(df: DataFrame, path: str, partition: str) -> int:
-    """Replace the slices of ``partition`` that occur in ``df``; returns the rows written.
+class Replaced(NamedTuple):
+    """What a write put in place: its rows, and the slices they went to."""
 
-    Rows are counted while they are written, without a second pass.
+    rows: int
+    slices: set
+
+
+def replace_slices(df: DataFrame, path: str, partition: str) -> Replaced:
+    """Replace the slices of ``partition`` that occur in ``df``.
+
+    Rows and slices are noted while they are written, without a second pass. There are as many
+    slices as periods.
     """
     written = Observation()
     (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
+        df.observe(
+            written, F.count(F.lit(1)).alias("rows"), F.collect_set(partition).alias("slices")
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    return written.get["rows"]
+    return Replaced(written.get["rows"], set(written.get["slices"]))
 
 
 def even_files(df: DataFrame, *columns: str) -> DataFrame:
@@ -68,7 +79,7 @@ class Warehouse:
         (writer if partition is None else writer.partitionBy(partition)).parquet(self.path(table))
         return self.read(table)
 
-    def replace(self, table: str, df: DataFrame, partition: str) -> int:
+    def replace(self, table: str, df: DataFrame, partition: str) -> Replaced:
         return replace_slices(df, self.path(table), partition)
 
     def publish(self, table: str, df: DataFrame) -> None:

@@ -70,7 +70,7 @@ def content(frame):
 def state(warehouse):
     """Stored tables and dimensions; the marts are plans over exactly these."""
     found = pipeline.tables(warehouse)
-    plans = ("bronze.", "gold.dm_", "gold.int_")
+    plans = ("bronze.", "gold.dm_")
     return {name: content(frame) for name, frame in found.items() if not name.startswith(plans)}
 
 
