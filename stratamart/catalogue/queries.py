@@ -33,7 +33,7 @@ from stratamart.schemas import LISTING_COLUMNS
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
 from stratamart.sources.results import write_result_csv
-from stratamart.sources.tables import Warehouse, even_files, replace_slices, slice_values
+from stratamart.sources.tables import Warehouse, even_files, replace_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,7 +260,7 @@ def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "lineitem").select(
         *[values[c].alias(c) for c in LISTING_COLUMNS], file_month.alias("load_month")
     )
-    return published(silver_listings(raw))
+    return published(silver_listings(written_once(raw, "raw-text")))
 
 
 # ---- sources and loads ---------------------------------------------------------------------
@@ -484,7 +484,7 @@ def backfill_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order-years",
     )
     warehouse = Warehouse(spark, fresh_path(spark, "history"))
-    years = slice_values(yearly, "year")
+    years = sorted(r.year for r in yearly.select("year").distinct().collect())
     for year in [*years, years[-1]]:
         slice_ = yearly.where(F.col("year") == F.lit(year))
         advance_snapshot(warehouse, "silver.order_years", slice_, "order_key", "year", year)

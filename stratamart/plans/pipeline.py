@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratamart.plans import analysis, gold, marts, silver
 from stratamart.plans.checks import failing_rows, require_all
 from stratamart.plans.snapshots import advance_snapshot, rebuild_snapshot
-from stratamart.schemas import LISTINGS_FOLDER, REFERENCE_FILES
+from stratamart.schemas import LISTINGS_FOLDER, LISTINGS_TABLE, REFERENCE_FILES
 from stratamart.sources.bronze import (
     load_listings_label,
     load_reference,
@@ -20,7 +20,7 @@ from stratamart.sources.bronze import (
 )
 from stratamart.sources.periods import discover_periods
 from stratamart.sources.results import write_result_csv
-from stratamart.sources.tables import Warehouse, even_files, slice_values
+from stratamart.sources.tables import Warehouse, even_files
 
 _SILVER = "silver.silver_listings"
 _FILE_MONTHS = "silver.file_months"
@@ -32,11 +32,7 @@ _HOST_HISTORY = "silver.snap_dim_host"
 
 def newest_loaded_period(warehouse: Warehouse) -> dt.date:
     """Newest month by file, not by the dates inside the files."""
-    return slice_values(raw_listings(warehouse), "load_month")[-1]
-
-
-def _months_of(rows: DataFrame, month: str) -> set[dt.date]:
-    return set(slice_values(rows, month))
+    return warehouse.slices(f"bronze.{LISTINGS_TABLE}", "load_month")[-1]
 
 
 def _file_months(typed: DataFrame) -> DataFrame:
@@ -90,9 +86,8 @@ def _refresh_fact(
         fact = gold.fact_listing_monthly(listings, places, until)
         warehouse.rebuild(_FACT, fact, "snap_month")
         return None
-    stored = _months_of(warehouse.read(_FACT), "snap_month")
-    unpublished = _months_of(listings, "month_key") - stored
-    due = {m for m in months | unpublished if m <= until}
+    stored, known = warehouse.slices(_FACT, "snap_month"), warehouse.slices(_SILVER, "month_key")
+    due = {m for m in months | (set(known) - set(stored)) if m <= until}
     if due:
         rows = listings.where(F.col("month_key").isin(list(due)))
         fact = gold.fact_listing_monthly(rows, places, until)
@@ -252,14 +247,14 @@ def backfill(
 def answers(warehouse: Warehouse) -> dict[str, DataFrame]:
     """The reports of the five questions."""
     found = tables(warehouse)
-    until = newest_loaded_period(warehouse)
     fact = found[_FACT]
+    last = warehouse.slices(_FACT, "snap_month")[-1]  # a literal bound prunes the fact's slices
     medians, persons = found["gold.dim_census_g02"], found["gold.dim_census_g01"]
     return {
-        "q1_top_bottom_lgas": analysis.top_and_bottom_areas(fact, medians, persons),
-        "q2_age_revenue_correlation": analysis.age_revenue_correlation(fact, medians),
+        "q1_top_bottom_lgas": analysis.top_and_bottom_areas(fact, medians, persons, last),
+        "q2_age_revenue_correlation": analysis.age_revenue_correlation(fact, medians, last),
         "q3_best_listing_configurations": analysis.best_configurations(
-            fact, found["gold.dim_listing"], until
+            fact, found["gold.dim_listing"], last
         ),
         "q4_multi_property_hosts": analysis.multi_listing_hosts(fact),
         "q4_multi_property_hosts_2": analysis.primary_areas(fact),

@@ -9,7 +9,7 @@ missing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "silver", "gold")
+_NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Replaced(NamedTuple):
@@ -63,10 +64,28 @@ class Warehouse:
             raise ValueError(f"a table is named layer.name with layer in {LAYERS}, got {table!r}")
         return f"{self.root}/{layer}/{name}"
 
+    def _folder(self, table: str):
+        """Hadoop path of a table and its file system."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return path, path.getFileSystem(conf)
+
     def exists(self, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+        path, files = self._folder(table)
+        return files.exists(path)
+
+    def slices(self, table: str, column: str) -> list[dt.date]:
+        """Periods a table is stored for, ascending, from the names of its slice folders.
+
+        One listing, however many files the slices hold.
+        """
+        path, files = self._folder(table)
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(
+            dt.date.fromisoformat(name.removeprefix(f"{column}="))
+            for name in names
+            if name.startswith(f"{column}=") and not name.endswith(_NULL_SLICE)
+        )
 
     def read(self, table: str, schema: StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
@@ -86,9 +105,3 @@ class Warehouse:
         """Make a frame readable from SQL as ``layer_name``, as a view: nothing is stored."""
         self.path(table)
         df.createOrReplaceTempView(table.replace(".", "_"))
-
-
-def slice_values(df: DataFrame, column: str) -> list:
-    """Distinct non-NULL values of a period column, ascending (one per period)."""
-    rows: Sequence = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
-    return sorted(row[0] for row in rows)
