@@ -516,6 +516,7 @@ def temporal_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
         "listing_id",
         "snap_month",
         until=newest(stored, "month_key"),
+        grain="month",
     )
     return published(joined)
 
@@ -545,6 +546,7 @@ def join_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "host_id",
         "month_key",
         until=newest(stored, "month_key"),
+        grain="month",
     )
     return quality.join_balance(fact, joined, ["listing_id", "month_key"])
 

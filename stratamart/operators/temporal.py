@@ -26,6 +26,7 @@ def as_of_join(
     on: str,
     how: str = "inner",
     until: Column | dt.date | None = None,
+    grain: str = "day",
 ) -> DataFrame:
     """Attach to each fact the version of ``key`` that was valid on the fact's date.
 
@@ -37,11 +38,15 @@ def as_of_join(
     month at most once, so the list stays within keys x months.
 
     ``until`` is the last date any fact may have and closes open versions for the listing; it
-    is looked up in ``facts`` when not given. Version columns other than the key must not
-    clash with fact columns; ``valid_from`` and ``valid_to`` are dropped from the result.
+    is looked up in ``facts`` when not given. ``grain='month'`` states that facts are dated by the
+    first day of their month; facts already partitioned by key and month then join without moving.
+    Version columns other than the key must not clash with fact columns; ``valid_from`` and
+    ``valid_to`` are dropped from the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
+    if grain not in ("day", "month"):
+        raise ValueError(f"grain must be 'day' or 'month', got {grain!r}")
     last = newest(facts, on) if until is None else _as_column(until)
     attributes = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
     listed = (
@@ -61,7 +66,7 @@ def as_of_join(
     )
     matches = (
         (F.col(key) == F.col("_key"))
-        & (F.trunc(F.col(on), "MM") == F.col("_month"))
+        & ((F.col(on) if grain == "month" else F.trunc(on, "MM")) == F.col("_month"))
         & valid_on(F.col(on), F.col("valid_from"), F.col("valid_to"))
     )
     return facts.join(listed, matches, how).drop("_key", "_month", "valid_from", "valid_to")

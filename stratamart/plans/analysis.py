@@ -119,6 +119,7 @@ def best_configurations(
             "listing_id",
             "snap_month",
             until=until,
+            grain="month",
         )
         .where("listing_neighbourhood IS NOT NULL")
         .groupBy(*attributes, "snap_month")

@@ -165,6 +165,7 @@ def int_listing_month(
         "listing_id",
         "snap_month",
         until=until,
+        grain="month",
     )
     with_host = as_of_join(
         with_listing,
@@ -173,6 +174,7 @@ def int_listing_month(
         "snap_month",
         how="left",
         until=until,
+        grain="month",
     )
     return with_host.select(
         F.col("snap_month").alias("month"),

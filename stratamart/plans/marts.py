@@ -86,7 +86,7 @@ def host_month_areas(
     versions = with_host_area(
         hosts.select("host_id", "host_neighbourhood", "valid_from", "valid_to"), places
     ).drop("host_neighbourhood")
-    return as_of_join(per_host, versions, "host_id", "month", until=until)
+    return as_of_join(per_host, versions, "host_id", "month", until=until, grain="month")
 
 
 def dm_host_neighbourhood(

@@ -143,6 +143,8 @@ def test_fact_dates_at_the_edges_of_versions(spark):
     assert rows_of(left.where("v IS NULL").select("key", "day")) == sorted(
         [(1, month(1)), (None, month(2))], key=str
     )
+    monthly = as_of_join(facts, versions, "key", "day", how="left", grain="month")
+    assert rows_of(monthly) == rows_of(left)
     with pytest.raises(ValueError):
         as_of_join(facts, versions, "key", "day", how="right")
 

@@ -24,7 +24,7 @@ def listing_line(draw, listing, day):
     return ",".join(
         [
             str(listing), f"{day:%Y%m%d}", f"{day:%Y-%m-%d}", str(host) if listing % 17 else "",
-            f'"Host, {host}"', "23/9/2009", draw.choice("tf"),
+            f'"Host, {host}"', "14/2/2012", draw.choice("tf"),
             draw.choice([*AREAS, "Paris", "", "Suburbia"]), AREAS[listing % 7],
             draw.choice(["House", "Flat"]), draw.choice(["Private room", "Entire home"]),
             str(draw.randrange(1, 5)), f'"${draw.randrange(50, 3000):,}.00"', draw.choice(["t", "t", "f", ""]),
