@@ -26,7 +26,7 @@ from stratamart.operators import metrics, quality
 from stratamart.operators.history import as_dimension, merge_versions, versions_from_history
 from stratamart.operators.storage import fresh_path, written_once
 from stratamart.operators.temporal import as_of_join, newest, published_until, trailing_months
-from stratamart.plans import analysis, gold, marts
+from stratamart.plans import analysis, gold, marts, pipeline
 from stratamart.plans.silver import silver_listings
 from stratamart.plans.snapshots import advance_snapshot
 from stratamart.schemas import LISTING_COLUMNS
@@ -209,7 +209,8 @@ def safe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as delivered text, with blanks, three date layouts, currency and stray spaces."""
     line, order = F.col("l_linenumber"), F.col("l_orderkey")
     day = ship_date()
     layout = order % 8
@@ -257,10 +258,13 @@ def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     # every seventh line arrives early, in the file of the month before
     file_month = F.add_months(fn.month_start(day), F.when(line == 7, -1).otherwise(0))
-    raw = table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         *[values[c].alias(c) for c in LISTING_COLUMNS], file_month.alias("load_month")
     )
-    return published(silver_listings(written_once(raw, "raw-text")))
+
+
+def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published(silver_listings(written_once(_raw_text(spark, sf_dir), "raw-text")))
 
 
 # ---- sources and loads ---------------------------------------------------------------------
@@ -560,6 +564,40 @@ def unmapped_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole warehouse from text: bronze, silver, histories, dimensions, fact and a mart."""
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
+    raw = _raw_text(spark, sf_dir).withColumn("loaded_at", F.current_timestamp())
+    warehouse.rebuild("bronze.listings_raw", raw, "load_month")
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    code = F.col("n_nationkey").cast("string")
+    warehouse.rebuild(
+        "bronze.lga_code_raw", nation.select(code.alias("lga_code"), F.lower("n_name").alias("lga_name"))
+    )
+    warehouse.rebuild(
+        "bronze.lga_suburb_raw",
+        nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+            F.col("n_name").alias("lga_name"), F.col("r_name").alias("suburb_name")
+        ),
+    )
+    people = census_persons(spark, sf_dir).select(
+        F.col("lga_code").alias("lga_code_2016"),
+        F.col("total_pop_male").cast("string").alias("tot_p_m"),
+        F.col("total_pop_female").cast("string").alias("tot_p_f"),
+        F.col("total_pop").cast("string").alias("tot_p_p"),
+    )
+    warehouse.rebuild("bronze.census_g01_raw", people)
+    medians = census_medians(spark, sf_dir).select(
+        F.col("lga_code").alias("lga_code_2016"),
+        F.col("median_age_persons").cast("string").alias("median_age_persons"),
+        F.col("median_mortgage_monthly").cast("string").alias("median_mortgage_repay_monthly"),
+    )
+    warehouse.rebuild("bronze.census_g02_raw", medians)
+    pipeline.build(warehouse, history="all")
+    return published(pipeline.tables(warehouse)["gold.dm_listing_neighbourhood"])
+
+
 # ---- metrics and marts ---------------------------------------------------------------------
 
 
@@ -745,6 +783,7 @@ QUERIES: dict[str, Query] = {
     "temporal_left": temporal_left,
     "join_preserves_rows": join_preserves_rows,
     "unmapped_bucket": unmapped_bucket,
+    "warehouse_build": warehouse_build,
     "mart_metrics": mart_metrics,
     "filtered_median": filtered_median,
     "distinct_counts": distinct_counts,
