@@ -63,7 +63,10 @@ _FLAGS = ("host_is_superhost", "has_availability")
 
 
 def typed_listings(raw: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Typed rows with a listing id and a readable scrape date; the month is the scrape's."""
+    """Typed rows with a listing id and a readable scrape date; the month is the scrape's.
+
+    A lenient run (``on_bad='null'``) also drops rows whose id is not a number.
+    """
 
     def value(name: str) -> Column:
         if name in _TYPES:
@@ -81,12 +84,30 @@ def typed_listings(raw: DataFrame, on_bad: str = "fail") -> DataFrame:
         "load_month",
     )
     return (
-        rows.where("scraped_dt IS NOT NULL")
+        rows.where("listing_id IS NOT NULL AND scraped_dt IS NOT NULL")
         .withColumn("month_key", month_start(F.col("scraped_dt")))
         .select(*SILVER_LISTING_COLUMNS)
     )
 
 
+def rejected_values(raw: DataFrame) -> DataFrame:
+    """(column_name, n_rejected): filled values that a lenient run turns into NULL, in one pass."""
+
+    def rejected(name: str, value: Column) -> Column:
+        bad = blank_to_null(F.col(name)).isNotNull() & value.isNull()
+        return F.struct(
+            F.lit(name).alias("column_name"), F.count(F.when(bad, 1)).alias("n_rejected")
+        )
+
+    values = {c: typed(blank_to_null(F.col(c)), to, "null") for c, to in _TYPES.items()}
+    values["listing_id"] = typed(F.col("listing_id"), "bigint", "null")
+    values["price"] = clean_currency(F.col("price"), on_bad="null")
+    values |= {c: parse_date_multi(F.col(c)) for c in ("scraped_date", "host_since")}
+    values |= {c: tristate(F.col(c)) for c in _FLAGS}
+    counts = raw.agg(F.array(*[rejected(c, v) for c, v in values.items()]).alias("counts"))
+    return counts.select(F.inline("counts")).where("n_rejected > 0")
+
+
 def latest_listings(rows: DataFrame) -> DataFrame:
     """One row per listing and month: latest scrape, then the file loaded for the later month."""
     return latest_per_key(rows, ["listing_id", "month_key"], ["scraped_dt", "load_month"])

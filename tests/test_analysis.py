@@ -4,7 +4,10 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from stratamart import schemas
 from stratamart.plans import analysis, gold, marts, silver
 from stratamart.schemas import text_schema
 
@@ -82,6 +85,21 @@ def test_reference_silver_tables(spark):
     assert (row.avg_persons_per_bedroom, row.average_household_size) == (0.8, 2.6)
 
 
+def test_lenient_typing_counts_what_it_drops(spark):
+    columns = schemas.LISTING_COLUMNS
+    good = {"listing_id": "1", "scraped_date": "2020-05-02", "price": "$5", "has_availability": "t"}
+    rows = [good, good | {"accommodates": "many", "price": "1.2.3"}, good | {"host_since": "32/9/2009", "price": ""},
+            good | {"listing_id": "x", "host_is_superhost": "maybe"}]
+    raw = spark.createDataFrame(
+        [tuple(r.get(c) for c in columns) for r in rows], text_schema(columns)
+    ).withColumn("load_month", F.lit(month(5)))
+    counts = {r.column_name: r.n_rejected for r in silver.rejected_values(raw).collect()}
+    assert counts == {"accommodates": 1, "price": 1, "host_since": 1, "listing_id": 1, "host_is_superhost": 1}
+    assert silver.typed_listings(raw, on_bad="null").count() == 3
+    with pytest.raises(PySparkException):
+        silver.typed_listings(raw).collect()
+
+
 def test_host_representative_takes_latest_scrape_then_lowest_listing(spark):
     rows = [
         (2, 7, dt.date(2020, 5, 9), "two"), (1, 7, dt.date(2020, 5, 9), "one"),

@@ -191,6 +191,9 @@ def test_answers_and_sql_names(spark, built, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "results" / "q5_mortgage_coverage"))
     assert back.columns == ["lga_name", "lga_code", "single_hosts", "can_cover", "pct_cover"]
     assert back.count() == len(reports["q5_mortgage_coverage"])
+    q1 = pipeline.answers(warehouse)["q1_top_bottom_lgas"]
+    plan = q1._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snap_month" in plan
     n = spark.sql("select count(*) n from gold_fact_listing_monthly").first().n
     assert spark.sql("select sum(listings_total) n from gold_dm_property_type").first().n == n
 
