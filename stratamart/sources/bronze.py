@@ -29,7 +29,7 @@ def listings_schema() -> StructType:
 
 
 def load_listings_period(
-    warehouse: Warehouse, source: str, period: dt.date, multiline: bool = True
+    warehouse: Warehouse, source: str, period: dt.date, multiline: bool | None = None
 ) -> int:
     """Replace one month of raw listings with the delivery at ``source``; returns its row count.
 

@@ -13,12 +13,26 @@ from stratamart.schemas import text_schema
 _RAW = "_raw_row"
 
 
+def _cells_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some cell may hold a line break.
+
+    Quotes are doubled inside quoted cells, so as long as every line has an even number of quotes
+    no cell is open at a line's end. Lines are checked in splits; a delivery of a single split
+    gains nothing from the answer and is not checked.
+    """
+    lines = spark.read.text(path)
+    if lines.rdd.getNumPartitions() == 1:
+        return True
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return lines.where(quotes % 2 == 1).limit(1).count() > 0
+
+
 def read_positional_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
     cut_extra: bool = False,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Delivered rows as text columns, bound by position; the header line is skipped.
 
@@ -27,11 +41,13 @@ def read_positional_csv(
     quoted or not, are NULL; quotes inside a quoted cell are doubled; a line break inside one
     reads as a single newline; a byte-order mark is ignored.
 
-    ``path`` may be a file or a folder of files. Cells may hold line breaks, so each file is
-    read by one task; deliver large periods as a folder of files, or pass ``multiline=False``
-    when no cell holds a line break, and files are split (a broken cell then fails as a short
-    row, it cannot pass unnoticed).
+    ``path`` may be a file or a folder of files. Files are read in splits when no cell holds a
+    line break; this is found out by a pass over the lines unless ``multiline`` states it. With
+    line breaks each file is read by one task, so deliver such months as folders of files. Stating
+    ``multiline=False`` wrongly fails the load: a broken cell makes a row of the wrong length.
     """
+    if multiline is None:
+        multiline = _cells_span_lines(spark, path)
     schema = text_schema(tuple(columns)).add(_RAW, StringType())
     rows = (
         spark.read.schema(schema)
