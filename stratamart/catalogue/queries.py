@@ -30,6 +30,7 @@ from stratamart.plans import analysis, gold, marts, pipeline
 from stratamart.plans.silver import silver_listings
 from stratamart.plans.snapshots import advance_snapshot
 from stratamart.schemas import LISTING_COLUMNS
+from stratamart.sources.bronze import raw_listings
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
 from stratamart.sources.results import write_result_csv
@@ -263,8 +264,16 @@ def _raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_bronze(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse with the text rows stored by the month of their file."""
+    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
+    raw = _raw_text(spark, sf_dir).withColumn("loaded_at", F.current_timestamp())
+    warehouse.rebuild("bronze.listings_raw", raw, "load_month")
+    return warehouse
+
+
 def silver_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published(silver_listings(written_once(_raw_text(spark, sf_dir), "raw-text")))
+    return published(silver_listings(raw_listings(_stored_bronze(spark, sf_dir))))
 
 
 # ---- sources and loads ---------------------------------------------------------------------
@@ -566,9 +575,7 @@ def unmapped_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole warehouse from text: bronze, silver, histories, dimensions, fact and a mart."""
-    warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
-    raw = _raw_text(spark, sf_dir).withColumn("loaded_at", F.current_timestamp())
-    warehouse.rebuild("bronze.listings_raw", raw, "load_month")
+    warehouse = _stored_bronze(spark, sf_dir)
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     code = F.col("n_nationkey").cast("string")
