@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from stratamart.llm import mixing, sharding
+from stratamart.llm import line_dedup, mixing, sharding
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
 }
 
 ORACLE = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }

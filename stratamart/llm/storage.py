@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
