@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratamart.llm import line_dedup, mixing, sharding
+from stratamart.llm import line_dedup, mixing, quality_rules, sharding
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
 }
