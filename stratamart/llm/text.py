@@ -146,3 +146,25 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
         own = offsets[first : last + 1]
         yield Block(first, data[own[0] : own[-1]], own - own[0])
         first = last
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z in lower case."""
+    return np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
+
+
+def char_ngrams(data: np.ndarray, offsets: np.ndarray, n: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all runs of ``n`` bytes (up to 7) inside one text, and the texts' offsets into them."""
+    if len(data) < n:
+        return np.zeros(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
+    size = len(data) - n + 1
+    packed = np.full(size, n, dtype=np.uint64)
+    for i in range(n):
+        packed <<= np.uint64(8)
+        packed |= data[i : i + size]
+    keep = np.ones(size, dtype=bool)
+    for cut in offsets[1:-1]:
+        keep[max(cut - n + 1, 0) : cut] = False
+    packed = packed[keep] * np.uint64(_BASE)
+    made = np.concatenate([[0], np.cumsum(keep)])[np.minimum(offsets, size)]
+    return (packed >> np.uint64(64 - n_buckets.bit_length() + 1)).astype(np.int64), made
