@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratamart.llm import line_dedup, mixing, quality_rules, sharding
+from stratamart.llm import line_dedup, mixing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
 }

@@ -1,7 +1,7 @@
 """Words and n-grams of whole batches of texts, as numpy arrays.
 
-A word is a longest run of bytes other than space and 0x09-0x0D. Texts are taken as UTF-8, in blocks of whole
-texts of about ``BLOCK_BYTES``, so that memory follows the block (or the one longest text), not the batch.
+A word is a longest run of bytes other than space and 0x09-0x0D. Texts are taken as UTF-8, in blocks of at
+most ``BLOCK_TEXTS`` whole texts and about ``BLOCK_BYTES``, so that memory follows the block (or the one longest text), not the batch.
 Word and n-gram hashes have 64 bits: a polynomial of the bytes modulo 2**64, mixed at the end.
 """
 
@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
+BLOCK_TEXTS = 1 << 12
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -142,7 +143,7 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
     first = 0
     while first < len(texts):
         last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), len(texts))
+        last = min(max(last, first + 1), first + BLOCK_TEXTS, len(texts))
         own = offsets[first : last + 1]
         yield Block(first, data[own[0] : own[-1]], own - own[0])
         first = last
@@ -156,15 +157,28 @@ def lowered(data: np.ndarray) -> np.ndarray:
 def char_ngrams(data: np.ndarray, offsets: np.ndarray, n: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all runs of ``n`` bytes (up to 7) inside one text, and the texts' offsets into them."""
     if len(data) < n:
-        return np.zeros(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
+        return np.zeros(0, dtype=np.uint32), np.zeros(len(offsets), dtype=np.int64)
     size = len(data) - n + 1
     packed = np.full(size, n, dtype=np.uint64)
     for i in range(n):
         packed <<= np.uint64(8)
         packed |= data[i : i + size]
+    packed *= np.uint64(_BASE)
+    packed >>= np.uint64(64 - n_buckets.bit_length() + 1)
     keep = np.ones(size, dtype=bool)
-    for cut in offsets[1:-1]:
-        keep[max(cut - n + 1, 0) : cut] = False
-    packed = packed[keep] * np.uint64(_BASE)
-    made = np.concatenate([[0], np.cumsum(keep)])[np.minimum(offsets, size)]
-    return (packed >> np.uint64(64 - n_buckets.bit_length() + 1)).astype(np.int64), made
+    for i in range(1, n):  # runs that cross into the next text
+        cuts = offsets[1:-1] - i
+        keep[cuts[(cuts >= 0) & (cuts < size)]] = False
+    made = np.concatenate([[0], np.cumsum(np.maximum(np.diff(offsets) - n + 1, 0))])
+    return packed.astype(np.uint32)[keep], made
+
+
+def distinct_per_text(buckets: np.ndarray, texts: np.ndarray, n: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct buckets of each of ``n`` texts, and the texts' offsets into them; n x buckets must fit 32 bits."""
+    keys = texts.astype(np.uint32)
+    keys *= np.uint32(n_buckets)
+    keys += buckets
+    keys.sort()
+    if len(keys):
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return keys % np.uint32(n_buckets), np.searchsorted(keys, np.arange(n + 1, dtype=np.int64) * n_buckets)
