@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratamart.llm import line_dedup, mixing, quality_rules, sharding, toxicity
+from stratamart.llm import language_id, line_dedup, mixing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE = {
