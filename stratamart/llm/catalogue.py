@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratamart.llm import bpe, language_id, line_dedup, mixing, quality_rules, sharding, toxicity
+from stratamart.llm import bpe, jaccard_join, language_id, line_dedup, mixing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_bpe": bpe.op6_bpe,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
