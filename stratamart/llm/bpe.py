@@ -204,6 +204,11 @@ def coder(spark: SparkSession, path: str | None = None) -> Bpe:
         return Bpe(file.read())
 
 
+def _id_lists(coded: list[bytes]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<i4")))
+
+
 def encoder(spark: SparkSession, path: str | None = None):
     """Column function: text to ids (array of int)."""
     shared = ship(spark).broadcast(coder(spark, path))
@@ -213,8 +218,7 @@ def encoder(spark: SparkSession, path: str | None = None):
         bpe = shared.value
         for texts in batches:
             coded = [bpe.encode(x.as_py()) for x in texts]
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<i4")))
+            yield _id_lists(coded)
 
     return encode
 
@@ -232,25 +236,29 @@ def decoder(spark: SparkSession, path: str | None = None):
     return decode
 
 
-def digests(spark: SparkSession, path: str | None = None):
+def digests(spark: SparkSession, path: str | None = None, with_ids: bool = False):
     """Column function: text to the number of ids and the digests of the ids and of the text decoded from them.
 
-    Both directions run in one pass, so that ids need not travel between the engines.
+    Both directions run in one pass, so that ids need not travel between the engines. ``with_ids`` adds the ids.
     """
     shared = ship(spark).broadcast(coder(spark, path))
 
-    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
+    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + (", ids: array<int>>" if with_ids else ">"))
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = shared.value
         for texts in batches:
-            counts, ids, decoded = [], [], []
+            counts, ids, decoded, coded = [], [], [], []
             for x in texts:
-                coded = bpe.encode(x.as_py())
-                counts.append(len(coded) // 4)
-                ids.append(sha256(coded).hexdigest())
-                decoded.append(sha256(bpe.decode(coded).encode()).hexdigest())
+                own = bpe.encode(x.as_py())
+                counts.append(len(own) // 4)
+                ids.append(sha256(own).hexdigest())
+                decoded.append(sha256(bpe.decode(own).encode()).hexdigest())
+                if with_ids:
+                    coded.append(own)
             columns = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.StructArray.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256"])
+            if with_ids:
+                columns.append(_id_lists(coded))
+            yield pa.StructArray.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(columns)])
 
     return digest
 

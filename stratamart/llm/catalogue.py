@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratamart.llm import bpe, jaccard_join, language_id, line_dedup, mixing, nearest, quality_rules, sharding, toxicity
+from stratamart.llm import bpe, jaccard_join, language_id, line_dedup, mixing, nearest, perplexity, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_perplexity": perplexity.op3_perplexity,
     "op4_nearest": nearest.op4_nearest,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_bpe": bpe.op6_bpe,
