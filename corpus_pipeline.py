@@ -16,12 +16,12 @@ from stratamart.llm.storage import documents, stored
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, does not predict toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.with_score(docs, labels, "_toxicity").where(F.col("_toxicity") < 0.5).drop("_toxicity")
+    return toxicity.without_toxic(docs, labels)
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that later occurrences of a three-line window cover; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs).drop("_removed", "_before")
+    out = line_dedup.dedup_lines(docs)
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType))
 
 

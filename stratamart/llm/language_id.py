@@ -110,8 +110,10 @@ def held_out(key: Column) -> Column:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     ship(docs.sparkSession)
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text RLIKE '\\\\p{L}'").where(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
+    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+    for part in ([F.pmod("hash", F.lit(64))], []):  # a language may hold most rows: first within 64 parts of it
+        order = Window.partitionBy("lang", *part).orderBy("hash", "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).drop("nth")
     sample = F.broadcast(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")))  # per_language of each language
     rows = docs.join(sample, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("text", "lang")
     table = rows.mapInArrow(_frequencies, "lang string, buckets array<int>, shares array<float>").toArrow()

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.storage import documents, small_side, stored
+from stratamart.llm.storage import documents, own_columns, small_side, stored
 
 WINDOW = 3
 
@@ -60,10 +60,10 @@ def covered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return places.select("_key", "_tag", F.array_sort(F.array_distinct(spread)).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """``docs`` with later occurrences of repeated windows cut out of the text; all columns, and ``_removed``, the cut places."""
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
+    """_row (the document as it came), removed (the cut places), text (what stays)."""
     cut = stored(covered_lines(docs, id_col, text_col, size), "covered")
-    packed = docs.select(F.struct(*docs.columns).alias("_row"))
+    packed = docs.select(F.struct(*own_columns(docs)).alias("_row"))
     key, text = F.col(f"_row.`{id_col}`"), F.col(f"_row.`{text_col}`")
     named = packed.select("_row", *_identity(key, text))
     cut = cut.select(F.col("_key").alias("_k"), F.col("_tag").alias("_t"), F.col("removed").alias("_removed"))
@@ -72,19 +72,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
     kept_text = F.array_join(F.transform(kept, lambda at: F.get("_lines", at)), "\n")
     shorter = F.when(F.col("_removed").isNull(), text).otherwise(kept_text)
-    columns = [(shorter if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.col("_removed"), F.array().cast("array<int>")).alias("_removed"), text.alias("_before"))
+    removed = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))
+    return joined.select("_row", removed.alias("removed"), shorter.alias("text"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
+    """``docs`` with later occurrences of repeated windows cut out of the text."""
+    cut = cut_texts(docs, id_col, text_col, size)
+    return cut.select(F.col("_row").withField(f"`{text_col}`", F.col("text")).alias("_row")).select("_row.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lines and removed lines, and the md5 of what stays."""
-    out = dedup_lines(documents(spark, sf_dir))
-    lines = F.coalesce(F.size(F.split(F.col("_before"), "\n", -1)), F.lit(0)).cast("long")
+    out = cut_texts(documents(spark, sf_dir).select("doc_id", "text"))
+    before = F.col("_row.text")
     return out.select(
-        "doc_id",
-        F.when(F.col("_before").isNull(), 0).otherwise(lines).alias("n_lines"),
-        F.size("_removed").cast("long").alias("n_removed"),
-        F.array_join("_removed", ",").alias("removed_lines"),
+        "_row.doc_id",
+        F.when(before.isNull(), F.lit(0)).otherwise(F.size(F.split(before, "\n", -1))).cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"),
         F.md5("text").alias("kept_md5"),
     )
 

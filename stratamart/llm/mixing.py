@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.storage import documents, small_side, stored
+from stratamart.llm.storage import documents, own_columns, small_side, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -164,7 +164,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     sizes = stored(sized(docs), "sizes")
     per_source = stored(targets(sizes, weights), "targets")
     cuts = all_cuts(ranked(sizes, per_source), per_source)
-    packed = docs.select(F.struct(*docs.columns).alias("_row"))
+    packed = docs.select(F.struct(*own_columns(docs)).alias("_row"))
     named = packed.select(
         "_row", *[x.alias(n) for n, x in measures(F.col("_row.doc_id"), F.col("_row.text"), F.col("_row.source")).items()]
     )
