@@ -4,7 +4,7 @@ Documents with the same words in the same order are one text; a text is handled
 text's set are its runs of five words (fewer words: one run of all). Bands and rows follow from the similarity and the
 recall wanted: a pair at exactly the threshold shares a band with probability ``RECALL``. Texts meet where a band hash
 is equal, in a shuffle on band hashes, and every pair that meets is verified on the full sets, in the first band that
-both share.
+both share. Sets travel only to the buckets where their text has a pair to verify.
 
 A bucket of any size is cut into blocks of about ``BLOCK`` texts, and each pair of blocks is one unit of work for any
 task; texts are compared inside it as arrays. What leaves a unit is, per text, the number of links found and one edge
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm.ship import ship
-from stratamart.llm.storage import documents, small_side, stored
+from stratamart.llm.storage import documents, own_columns, small_side, stored
 from stratamart.llm.text import Block, blocks, mix
 
 WORDS = 5
@@ -148,12 +148,13 @@ def _common(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np
     return out
 
 
-def _links(sides: np.ndarray, band: int, hashes: np.ndarray, sets: list[np.ndarray], copies: np.ndarray, similarity: float):
-    """Number of linked documents of each text of a unit, and the smallest text connected with it; pairs that met in
-    an earlier band are left to that. ``sides``: whether a text is of the unit's first block, or None for one block."""
-    n = len(sets)
+def _fresh(sides: np.ndarray | None, band: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and, for each pair of them, whether it meets in this band first.
+
+    ``sides``: whether a text is of the unit's first block; None for a unit of one block.
+    """
     if sides is None:
-        rows = columns = np.arange(n)
+        rows = columns = np.arange(len(hashes))
     else:
         rows, columns = np.flatnonzero(sides), np.flatnonzero(~sides)
     fresh = np.ones((len(rows), len(columns)), dtype=bool)
@@ -161,14 +162,17 @@ def _links(sides: np.ndarray, band: int, hashes: np.ndarray, sets: list[np.ndarr
         fresh &= hashes[rows, k][:, None] != hashes[columns, k][None, :]
     if sides is None:
         np.fill_diagonal(fresh, False)
-    use = np.unique(np.concatenate([rows[fresh.any(axis=1)], columns[fresh.any(axis=0)]]))
+    return rows, columns, fresh
+
+
+def _links(sides: np.ndarray | None, band: int, hashes: np.ndarray, sets: list[np.ndarray], copies: np.ndarray, similarity: float):
+    """Number of linked documents of each text of a unit, by pairs that meet first in this band, and the smallest text
+    connected with it."""
+    n = len(sets)
+    rows, columns, fresh = _fresh(sides, band, hashes)
     counts, least = np.zeros(n, dtype=np.int64), np.arange(n)
-    if len(use) < 2:
-        return counts, least
-    fresh = fresh[np.ix_(np.isin(rows, use), np.isin(columns, use))]
-    rows, columns = rows[np.isin(rows, use)], columns[np.isin(columns, use)]
     sizes = np.array([len(x) for x in sets], dtype=np.float64)
-    common = _common([sets[i] for i in use], np.searchsorted(use, rows), np.searchsorted(use, columns)).astype(np.float64)
+    common = _common(sets, rows, columns).astype(np.float64)
     linked = fresh & (common * (1 + similarity) >= similarity * (sizes[rows][:, None] + sizes[columns][None, :]) - 1e-9)
     counts[rows] += linked @ copies[columns]
     if sides is not None:
@@ -182,37 +186,52 @@ def _links(sides: np.ndarray, band: int, hashes: np.ndarray, sets: list[np.ndarr
             return counts, least
 
 
-def _verify(similarity: float):
-    """Streams rows sorted by unit; a unit's rows follow each other."""
+UNIT = ["band", "key", "first", "second"]
+
+
+def _unit(table: pa.Table) -> tuple[np.ndarray | None, int, np.ndarray]:
+    """sides, band and band hashes of the rows of one unit."""
+    band, _, first, second = (table.column(c)[0].as_py() for c in UNIT)
+    sides = None if first == second else table.column("block").to_numpy() == first
+    return sides, band, np.stack([x.values.to_numpy() for x in table.column("bands")])
+
 
-    def run_unit(table: pa.Table) -> pa.RecordBatch:
+def _with_fresh_pairs(table: pa.Table) -> list[pa.RecordBatch]:
+    """The rows of a unit that have a pair to verify there."""
+    rows, columns, fresh = _fresh(*_unit(table))
+    use = np.unique(np.concatenate([rows[fresh.any(axis=1)], columns[fresh.any(axis=0)]]))
+    return table.select([*UNIT, "block", "node"]).take(use).combine_chunks().to_batches()
+
+
+def _verified(similarity: float):
+    def run(table: pa.Table) -> list[pa.RecordBatch]:
         table = table.sort_by("node")
-        first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-        sides = None if first == second else table.column("block").to_numpy() == first
-        hashes = np.stack([x.values.to_numpy() for x in table.column("bands")])
-        sets = [x.values.to_numpy() for x in table.column("grams")]
-        copies = table.column("copies").to_numpy()
-        counts, least = _links(sides, table.column("band")[0].as_py(), hashes, sets, copies, similarity)
+        sets, copies = [x.values.to_numpy() for x in table.column("grams")], table.column("copies").to_numpy()
+        counts, least = _links(*_unit(table), sets, copies, similarity)
         held = np.flatnonzero(counts)
-        nodes = table.column("node")
-        return pa.RecordBatch.from_arrays(
-            [nodes.take(held).combine_chunks(), nodes.take(least[held]).combine_chunks(), pa.array(counts[held])], names=["node", "least", "links"]
-        )
+        nodes = table.column("node").combine_chunks()
+        return [pa.RecordBatch.from_arrays([nodes.take(held), nodes.take(least[held]), pa.array(counts[held])], names=["node", "least", "links"])]
+
+    return run
+
+
+def _by_unit(handle):
+    """Streams rows sorted by unit, whose rows follow each other, and hands each unit over whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_rows: pa.Table | None = None
+        waiting: list[pa.Table] = []  # the rows so far of the last unit
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            if open_rows is not None:
-                table = pa.concat_tables([open_rows, table])
-            keys = np.stack([table.column(c).to_numpy() for c in ("band", "key", "first", "second")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            edges = [0, *cuts.tolist()]
+            keys = np.stack([table.column(c).to_numpy() for c in UNIT])
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), table.num_rows]
             for a, b in zip(edges[:-1], edges[1:]):
-                yield run_unit(table.slice(a, b - a))
-            open_rows = table.slice(edges[-1])
-        if open_rows is not None and open_rows.num_rows:
-            yield run_unit(open_rows)
+                part = table.slice(a, b - a)
+                if waiting and any(part.column(c)[0] != waiting[0].column(c)[0] for c in UNIT):
+                    yield from handle(pa.concat_tables(waiting).combine_chunks())
+                    waiting = []
+                waiting.append(part)
+        if waiting:
+            yield from handle(pa.concat_tables(waiting).combine_chunks())
 
     return run
 
@@ -261,19 +280,23 @@ def linked_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     crowded = crowded.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     met = stored(spread.join(small_side(stored(crowded, "buckets")), ["band", "key"]).select("node", "band", "key", "blocks"), "met")
 
-    wanted = stored(met.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "wanted")
-    wanted = wanted.select(F.col("node").alias("_node"), F.col("first_id"))
-    sets = texts.select("doc_id", text_sets(spark)("text").alias("s")).select("doc_id", "s.*")
-    sets = sets.join(small_side(wanted), F.col("node") == F.col("_node")).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    sets = stored(sets.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
-
     block = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
     units = met.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = units.select("node", "band", "key", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    full = sets.join(nodes.select("node", "copies", "bands"), "node")
-    unit = ["band", "key", "first", "second"]
-    rows_in = units.join(full, "node").repartition(*unit).sortWithinPartitions(*unit)
-    verified = stored(rows_in.mapInArrow(_verify(similarity), "node binary, least binary, links bigint"), "links")
+    hashes = nodes.select("node", "bands")
+    sorted_units = units.join(hashes, "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    kept = "band int, key long, first int, second int, block int, node binary"
+    open_units = stored(sorted_units.mapInArrow(_by_unit(_with_fresh_pairs), kept), "units")
+
+    wanted = stored(open_units.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "wanted")
+    by_id = wanted.select(F.col("first_id").alias("_id")).distinct()
+    sets = texts.join(small_side(by_id), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = sets.select(text_sets(spark)("text").alias("s")).select("s.*")
+    sets = sets.join(small_side(wanted.select("node")), "node", "left_semi")
+    sets = stored(sets.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
+    full = open_units.join(sets.join(nodes.select("node", "copies", "bands"), "node"), "node")
+    sorted_units = full.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    verified = stored(sorted_units.mapInArrow(_by_unit(_verified(similarity)), "node binary, least binary, links long"), "links")
 
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(verified)
@@ -301,7 +324,7 @@ def one_per_class(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     """The row with the smallest id of each class, and all rows without words; columns as they came."""
     spark = docs.sparkSession
     _, per_text = linked_texts(docs, similarity, recall)
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), signatures(spark, 1, 1)("text").alias("_s"))
+    packed = docs.select(F.struct(*own_columns(docs)).alias("_row"), signatures(spark, 1, 1)("text").alias("_s"))
     named = packed.select("_row", F.col("_s.node").alias("node"), F.col("_row.doc_id").alias("_id"))
     own = per_text.where("speaks").select(F.col("node").alias("_node"), "first_id", "first_rows")
     kept = named.join(small_side(own), (F.col("node") == F.col("_node")) & F.col("_id").eqNullSafe(F.col("first_id")))

@@ -106,7 +106,7 @@ class Block:
         if len(words) == 0:
             return np.zeros(0, dtype=np.uint64), np.zeros(len(self) + 1, dtype=np.int64)
         spread = np.zeros(len(words), dtype=np.uint64)
-        for i in range(n):
+        for i in range(min(n, len(words))):
             spread[: len(words) - i] += words[i:] * np.uint64(pow(_BASE, i + 1, 1 << 64))
         left = self.word_offsets[1:][text_of(self.word_offsets)] - np.arange(len(words))  # words to the text's end
         keep = left >= n
