@@ -680,9 +680,11 @@ def q2_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q3_best_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = silver_table(spark, sf_dir)
     fact = gold.fact_listing_monthly(stored, places(spark, sf_dir))
-    return analysis.best_configurations(
-        fact, gold.listing_versions(stored), newest(stored, "month_key")
-    )
+    months = as_of_join(
+        fact, gold.listing_versions(stored), "listing_id", "snap_month",
+        until=newest(stored, "month_key"), grain="month",
+    )
+    return analysis.best_configurations(months.withColumnRenamed("snap_month", "month"))
 
 
 def q4_multi_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -690,7 +692,7 @@ def q4_multi_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q4_primary_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.primary_areas(_fact(spark, sf_dir, "l_orderkey"))
+    return analysis.primary_areas(_fact(spark, sf_dir, "l_orderkey"), shown=None)
 
 
 def q5_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,9 @@ def exact_quantile(
     spread over as many tasks as it has values, and the ordered passes see bucket counts or the
     values of a single bucket.
     """
+    if not keys:
+        whole = df.select(F.lit(0).alias("_whole"), value)
+        return exact_quantile(whole, ["_whole"], value, name, q).drop("_whole")
     is_decimal = df.schema[value].dataType.typeName() == "decimal"
     part = "cast(part AS decimal(10,9))" if is_decimal else "part"  # exact middle of amounts
     group = _listed(keys)
@@ -55,7 +58,8 @@ def exact_quantile(
     return df.sparkSession.sql(
         f"""
         WITH counts AS (
-          SELECT *, floor(signum(x) * log1p(abs(x)) * {_BUCKETS_PER_E_FOLD}) AS bucket
+          -- never NULL, so that no side of the join below gets a filter of its own: both read one shuffle
+          SELECT *, coalesce(floor(signum(x) * log1p(abs(x)) * {_BUCKETS_PER_E_FOLD}), 0L) AS bucket
           FROM (
             SELECT {group}, `{value}` AS value, cast(`{value}` AS double) AS x, count(*) AS n
             FROM {{df}} WHERE `{value}` IS NOT NULL GROUP BY {group}, `{value}`

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,18 +20,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of its own.
-    """
+    """Folder all executors can reach, taken from ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stratamart-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -27,6 +27,7 @@ def as_of_join(
     how: str = "inner",
     until: Column | dt.date | None = None,
     grain: str = "day",
+    since: Column | dt.date | None = None,
 ) -> DataFrame:
     """Attach to each fact the version of ``key`` that was valid on the fact's date.
 
@@ -38,7 +39,9 @@ def as_of_join(
     month at most once, so the list stays within keys x months.
 
     ``until`` is the last date any fact may have and closes open versions for the listing; it
-    is looked up in ``facts`` when not given. ``grain='month'`` states that facts are dated by the
+    is looked up in ``facts`` when not given. ``since`` is the first one: versions outside the two
+    bounds are not read, and months before it are not listed. A fact beyond a given bound fails the
+    join. ``grain='month'`` states that facts are dated by the
     first day of their month; facts already partitioned by key and month then join without moving.
     Version columns other than the key must not clash with fact columns; ``valid_from`` and
     ``valid_to`` are dropped from the result.
@@ -49,6 +52,16 @@ def as_of_join(
         raise ValueError(f"grain must be 'day' or 'month', got {grain!r}")
     last = newest(facts, on) if until is None else _as_column(until)
     attributes = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
+    outside = F.lit(False) if until is None else F.col(on) > last
+    if since is not None:
+        first = _as_column(since)
+        outside = outside | (F.col(on) < first)
+        versions = versions.where(F.col("valid_to").isNull() | (F.col("valid_to") > first))
+        versions = versions.where(F.col("valid_from") <= last)
+    if until is not None or since is not None:
+        refused = F.raise_error(F.concat(F.lit("a fact lies beyond the bounds: "), F.col(on).cast("string")))
+        facts = facts.where(F.when(F.coalesce(outside, F.lit(False)), refused.cast("boolean")).otherwise(True))
+    start = F.col("valid_from") if since is None else F.greatest(F.col("valid_from"), _as_column(since))
     listed = (
         versions.withColumn("_last", F.least(F.date_sub("valid_to", 1), last))
         .where(F.col("_last") >= F.col("valid_from"))
@@ -56,7 +69,7 @@ def as_of_join(
             "_month",
             F.explode(
                 F.sequence(
-                    F.trunc("valid_from", "MM"), F.trunc("_last", "MM"), F.expr("interval 1 month")
+                    F.trunc(start, "MM"), F.trunc("_last", "MM"), F.expr("interval 1 month")
                 )
             ),
         )

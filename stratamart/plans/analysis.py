@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.functions import percent_of, ratio
-from stratamart.operators.storage import bounded_broadcast, written_once
+from stratamart.operators.storage import bounded_broadcast
 from stratamart.operators.temporal import as_of_join, trailing_months
 
 TRAILING_MONTHS = 12
@@ -96,42 +96,25 @@ def age_revenue_correlation(
     )
 
 
-def best_configurations(
-    fact: DataFrame,
-    listings: DataFrame,
-    until: Column | dt.date | None = None,
-    neighbourhoods: int = 5,
-    places: int = 3,
-) -> DataFrame:
+def best_configurations(listing_month: DataFrame, neighbourhoods: int = 5, places: int = 3) -> DataFrame:
     """Q3: most stayed-in configurations of the neighbourhoods with the best monthly revenue.
 
-    A neighbourhood's figure is the plain mean of its monthly means. The temporal join runs
-    once, down to one row per configuration and month, and that table serves both steps.
+    ``listing_month`` is the fact with the attributes valid each month, as the build stores it. A
+    neighbourhood's figure is the plain mean of its monthly means.
     """
     attributes = ["listing_neighbourhood", "property_type", "room_type", "accommodates"]
     revenue = F.when(F.col("has_availability"), F.col("est_revenue_30"))
-    months = written_once(
-        as_of_join(
-            fact.select(
-                "snap_month", "listing_id", "has_availability", "booked_nights_30", "est_revenue_30"
-            ),
-            listings.select("listing_id", *attributes, "valid_from", "valid_to"),
-            "listing_id",
-            "snap_month",
-            until=until,
-            grain="month",
-        )
-        .where("listing_neighbourhood IS NOT NULL")
-        .groupBy(*attributes, "snap_month")
+    months = (
+        listing_month.where("listing_neighbourhood IS NOT NULL")
+        .groupBy(*attributes, "month")
         .agg(
             F.sum(revenue).alias("revenue"),
             F.count(revenue).alias("revenues"),
             F.sum(F.when(F.col("has_availability"), F.col("booked_nights_30"))).alias("stays"),
-        ),
-        "configuration-months",
+        )
     )
     best = (
-        months.groupBy("listing_neighbourhood", "snap_month")
+        months.groupBy("listing_neighbourhood", "month")
         .agg(ratio(F.sum("revenue"), F.sum("revenues")).alias("mean"))
         .groupBy("listing_neighbourhood")
         .agg(F.round(F.avg("mean"), 2).alias("avg_rev_per_active"))

@@ -145,10 +145,11 @@ def int_listing_month(
     listings: DataFrame,
     hosts: DataFrame,
     until: Column | dt.date | None = None,
+    since: Column | dt.date | None = None,
 ) -> DataFrame:
     """Fact rows with listing and host attributes as they were that month.
 
-    A fact without a listing version is dropped, one without a host version is kept.
+    With the bounds of the fact's months, only the versions that reach into them are read. A fact without a listing version is dropped, one without a host version is kept.
     """
     measures = fact.select(
         "snap_month",
@@ -165,6 +166,7 @@ def int_listing_month(
         "listing_id",
         "snap_month",
         until=until,
+        since=since,
         grain="month",
     )
     with_host = as_of_join(
@@ -174,6 +176,7 @@ def int_listing_month(
         "snap_month",
         how="left",
         until=until,
+        since=since,
         grain="month",
     )
     return with_host.select(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +29,16 @@ _FACT = "gold.fact_listing_monthly"
 _LISTING_MONTH = "gold.int_listing_month"
 _LISTING_HISTORY = "silver.snap_dim_listing"
 _HOST_HISTORY = "silver.snap_dim_host"
+MARTS = ("gold.dm_listing_neighbourhood", "gold.dm_property_type", "gold.dm_host_neighbourhood")
 
 
 def newest_loaded_period(warehouse: Warehouse) -> dt.date:
     """Newest month by file, not by the dates inside the files."""
-    return warehouse.slices(f"bronze.{LISTINGS_TABLE}", "load_month")[-1]
+    table = f"bronze.{LISTINGS_TABLE}"
+    loaded = warehouse.slices(table, "load_month") if warehouse.exists(table) else []
+    if not loaded:
+        raise ValueError("nothing loaded: load a month of listings first")
+    return loaded[-1]
 
 
 def _file_months(typed: DataFrame) -> DataFrame:
@@ -109,7 +115,7 @@ def _refresh_listing_month(
     if months is not None and warehouse.exists(_LISTING_MONTH):
         due = months | {until}
         rows = gold.int_listing_month(
-            fact.where(F.col("snap_month").isin(list(due))), listings, hosts, until
+            fact.where(F.col("snap_month").isin(list(due))), listings, hosts, max(due), min(due)
         )
         replaced = warehouse.replace(_LISTING_MONTH, even_files(rows, "month"), "month")
         if replaced.slices == due:
@@ -118,27 +124,50 @@ def _refresh_listing_month(
     warehouse.rebuild(_LISTING_MONTH, whole, "month")
 
 
+def _store_marts(warehouse: Warehouse, until: dt.date) -> None:
+    """Store the marts, so that other sessions and the checks read them without aggregating anew."""
+    month = warehouse.read(_LISTING_MONTH)
+    hosts = gold.dim_host(warehouse.read(_HOST_HISTORY))
+    found = {
+        "gold.dm_listing_neighbourhood": marts.dm_listing_neighbourhood(month),
+        "gold.dm_property_type": marts.dm_property_type(month),
+        "gold.dm_host_neighbourhood": marts.dm_host_neighbourhood(
+            warehouse.read(_FACT), hosts, warehouse.read("gold.dim_place"), until
+        ),
+    }
+    _side_by_side([lambda n=name, f=frame: warehouse.rebuild(n, f) for name, frame in found.items()])
+
+
+def _side_by_side(steps: list[Callable[[], object]]) -> None:
+    """Run writes that do not depend on each other at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def build_reference(warehouse: Warehouse) -> None:
     """Silver and gold tables that depend on the reference files only."""
-    areas = warehouse.rebuild(
-        "silver.silver_lga_code", silver.silver_area_codes(raw_reference(warehouse, "lga_code_raw"))
-    )
-    suburbs = warehouse.rebuild(
-        "silver.silver_lga_suburb",
-        silver.silver_area_suburbs(raw_reference(warehouse, "lga_suburb_raw")),
-    )
-    persons = warehouse.rebuild(
-        "silver.silver_census_g01",
-        silver.silver_census_persons(raw_reference(warehouse, "census_g01_raw")),
+    cleaned = {
+        "silver.silver_lga_code": (silver.silver_area_codes, "lga_code_raw"),
+        "silver.silver_lga_suburb": (silver.silver_area_suburbs, "lga_suburb_raw"),
+        "silver.silver_census_g01": (silver.silver_census_persons, "census_g01_raw"),
+        "silver.silver_census_g02": (silver.silver_census_medians, "census_g02_raw"),
+    }
+    _side_by_side(
+        [
+            lambda n=name, clean=clean, raw=raw: warehouse.rebuild(n, clean(raw_reference(warehouse, raw)))
+            for name, (clean, raw) in cleaned.items()
+        ]
     )
-    medians = warehouse.rebuild(
-        "silver.silver_census_g02",
-        silver.silver_census_medians(raw_reference(warehouse, "census_g02_raw")),
+    areas, suburbs, persons, medians = map(warehouse.read, cleaned)
+    _side_by_side(
+        [
+            lambda: warehouse.rebuild("gold.dim_lga", gold.dim_area(areas)),
+            lambda: warehouse.rebuild("gold.dim_place", gold.dim_place(areas, suburbs)),
+            lambda: warehouse.rebuild("gold.dim_census_g01", gold.with_area_name(persons, areas)),
+            lambda: warehouse.rebuild("gold.dim_census_g02", gold.with_area_name(medians, areas)),
+        ]
     )
-    warehouse.rebuild("gold.dim_lga", gold.dim_area(areas))
-    warehouse.rebuild("gold.dim_place", gold.dim_place(areas, suburbs))
-    warehouse.rebuild("gold.dim_census_g01", gold.with_area_name(persons, areas))
-    warehouse.rebuild("gold.dim_census_g02", gold.with_area_name(medians, areas))
 
 
 def build(
@@ -172,18 +201,22 @@ def build(
         )
     else:
         published = listings.where(F.col("month_key") <= F.lit(until))
-        rebuild_snapshot(warehouse, _LISTING_HISTORY, gold.listing_versions(published))
-        rebuild_snapshot(warehouse, _HOST_HISTORY, gold.host_versions(published))
+        _side_by_side(
+            [
+                lambda: rebuild_snapshot(warehouse, _LISTING_HISTORY, gold.listing_versions(published)),
+                lambda: rebuild_snapshot(warehouse, _HOST_HISTORY, gold.host_versions(published)),
+            ]
+        )
     months = _refresh_fact(warehouse, months, until)
     _refresh_listing_month(warehouse, months if history == "newest" else None, until)
+    _store_marts(warehouse, until)
 
 
 def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Every table and view of the warehouse; dimensions and marts are plans over stored tables.
+    """Every table and view of the warehouse; the two versioned dimensions are plans over their history.
 
     All are published as temporary views ``layer_name`` for SQL.
     """
-    until = newest_loaded_period(warehouse)
     found = {"bronze.listings_raw": raw_listings(warehouse)}
     for name in REFERENCE_FILES:
         found[f"bronze.{name}"] = raw_reference(warehouse, name)
@@ -201,15 +234,11 @@ def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
         "gold.dim_census_g02",
         _FACT,
         _LISTING_MONTH,
+        *MARTS,
     ):
         found[name] = warehouse.read(name)
-    fact, places = found[_FACT], found["gold.dim_place"]
     found["gold.dim_listing"] = gold.dim_listing(found[_LISTING_HISTORY])
-    hosts = found["gold.dim_host"] = gold.dim_host(found[_HOST_HISTORY])
-    month = found[_LISTING_MONTH]
-    found["gold.dm_listing_neighbourhood"] = marts.dm_listing_neighbourhood(month)
-    found["gold.dm_property_type"] = marts.dm_property_type(month)
-    found["gold.dm_host_neighbourhood"] = marts.dm_host_neighbourhood(fact, hosts, places, until)
+    found["gold.dim_host"] = gold.dim_host(found[_HOST_HISTORY])
     for name, frame in found.items():
         warehouse.publish(name, frame)
     return found
@@ -253,9 +282,7 @@ def answers(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {
         "q1_top_bottom_lgas": analysis.top_and_bottom_areas(fact, medians, persons, last),
         "q2_age_revenue_correlation": analysis.age_revenue_correlation(fact, medians, last),
-        "q3_best_listing_configurations": analysis.best_configurations(
-            fact, found["gold.dim_listing"], last
-        ),
+        "q3_best_listing_configurations": analysis.best_configurations(found[_LISTING_MONTH]),
         "q4_multi_property_hosts": analysis.multi_listing_hosts(fact),
         "q4_multi_property_hosts_2": analysis.primary_areas(fact),
         "q5_mortgage_coverage": analysis.mortgage_coverage(fact, medians, found["gold.dim_lga"]),

@@ -13,18 +13,16 @@ from stratamart.schemas import text_schema
 _RAW = "_raw_row"
 
 
-def _cells_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some cell may hold a line break.
+# A cell is quoted only when a quote opens it; quotes further on in a cell are ordinary signs.
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
+_WHOLE_LINE = rf"^(?:{_CELL},)*+{_CELL}$"
 
-    Quotes are doubled inside quoted cells, so as long as every line has an even number of quotes
-    no cell is open at a line's end. Lines are checked in splits; a delivery of a single split
-    gains nothing from the answer and is not checked.
-    """
-    lines = spark.read.text(path)
-    if lines.rdd.getNumPartitions() == 1:
-        return True
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return lines.where(quotes % 2 == 1).limit(1).count() > 0
+
+def _require_whole_lines(spark: SparkSession, path: str) -> None:
+    """Fail when a quoted cell is still open at the end of a line."""
+    broken = spark.read.text(path).where(~F.col("value").rlike(_WHOLE_LINE)).limit(1).collect()
+    if broken:
+        raise ValueError(f"a cell spans lines, read with multiline=True: {broken[0].value[:200]}")
 
 
 def read_positional_csv(
@@ -32,7 +30,7 @@ def read_positional_csv(
     path: str,
     columns: Sequence[str],
     cut_extra: bool = False,
-    multiline: bool | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Delivered rows as text columns, bound by position; the header line is skipped.
 
@@ -41,13 +39,13 @@ def read_positional_csv(
     quoted or not, are NULL; quotes inside a quoted cell are doubled; a line break inside one
     reads as a single newline; a byte-order mark is ignored.
 
-    ``path`` may be a file or a folder of files. Files are read in splits when no cell holds a
-    line break; this is found out by a pass over the lines unless ``multiline`` states it. With
-    line breaks each file is read by one task, so deliver such months as folders of files. Stating
-    ``multiline=False`` wrongly fails the load: a broken cell makes a row of the wrong length.
+    ``path`` may be a file or a folder of files. A file is read by one task, as any cell may hold
+    line breaks, whatever the file's size: deliver large months as folders of files. The caller may
+    state with ``multiline=False`` that no cell does; files are then read in splits, after a pass over
+    the lines that fails when the statement is wrong.
     """
-    if multiline is None:
-        multiline = _cells_span_lines(spark, path)
+    if not multiline:
+        _require_whole_lines(spark, path)
     schema = text_schema(tuple(columns)).add(_RAW, StringType())
     rows = (
         spark.read.schema(schema)
@@ -62,8 +60,7 @@ def read_positional_csv(
         .csv(path)
     )
     odd = F.col(_RAW).isNotNull()  # a row of another length than the schema
-    outside_quotes = F.regexp_replace(_RAW, r'"([^"]|"")*"', "")
-    cells = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) + 1
+    cells = F.regexp_count(_RAW, F.lit(rf"(?:^|,){_CELL}"))
     accepted = cells > len(columns) if cut_extra else F.lit(False)
     filled = F.when(odd, F.regexp_replace(_RAW, r'(?U)[",\s]', "") != "").otherwise(
         F.concat_ws("", *[F.col(c) for c in columns]).rlike(r"(?U)\S")

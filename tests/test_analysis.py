@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratamart import schemas
+from stratamart.operators.temporal import as_of_join
 from stratamart.plans import analysis, gold, marts, silver
 from stratamart.schemas import text_schema
 
@@ -182,10 +183,11 @@ def test_q3_uses_the_plain_mean_of_monthly_means(spark):
         # weighted by listing-months poor would win: (60 + 60 + 30) / 3 = 50 < 70; by means 55 = mean(100, 10)
         (month(1), 2, 1, None, True, 3, "54"), (month(1), 4, 1, None, True, 30, "100000"),
     ]
-    got = [tuple(r) for r in analysis.best_configurations(
-        fact(spark, rows), versions, neighbourhoods=1).collect()]
+    months = as_of_join(fact(spark, rows), versions, "listing_id", "snap_month", grain="month")
+    months = months.withColumnRenamed("snap_month", "month")
+    got = [tuple(r) for r in analysis.best_configurations(months, neighbourhoods=1).collect()]
     assert got == [("good", "flat", "all", 2, 7, 1), ("good", "house", "all", 4, 7, 1)]
-    both = analysis.best_configurations(fact(spark, rows), versions).collect()
+    both = analysis.best_configurations(months).collect()
     assert {r.listing_neighbourhood for r in both} == {"good", "poor"}
 
 

@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from stratamart.catalogue.oracle import ORACLE
+from stratamart.catalogue.queries import QUERIES
 
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
     "date": "DATE", "boolean": "BOOLEAN",
 }
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")

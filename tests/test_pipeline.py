@@ -208,12 +208,30 @@ def test_arrivals_load_like_batch_runs(spark, tmp_path):
     def arrive(*labels):
         for label in labels:
             (landing / f"{label}.csv").write_text((folder / "listings" / f"{label}.csv").read_text())
-        query = load_arrivals(warehouse, str(landing), str(tmp_path / "progress"))
-        query.awaitTermination()
+        return load_arrivals(warehouse, str(landing))
+
+    def stored():
         rows = warehouse.read("bronze.listings_raw").groupBy("load_month").count().collect()
         return {r.load_month: r["count"] for r in rows}
 
-    assert set(arrive(*LABELS[:2])) == set(PERIODS[:2])
-    after = arrive(LABELS[2])
-    assert set(after) == set(PERIODS[:3])
-    assert arrive() == after
+    assert sorted(arrive(*LABELS[:2])) == sorted(LABELS[:2]) and set(stored()) == set(PERIODS[:2])
+    assert arrive(LABELS[2]) == [LABELS[2]] and set(stored()) == set(PERIODS[:3])
+    before = stored()
+    assert arrive() == [] and stored() == before
+    # a corrected month under the same name
+    corrected = landing / f"{LABELS[0]}.csv"
+    corrected.write_text("".join(corrected.read_text().splitlines(keepends=True)[:-1]))
+    assert arrive() == [LABELS[0]]
+    assert stored() == before | {PERIODS[0]: before[PERIODS[0]] - 1}
+    # a month delivered as a folder, which then gets another file
+    text = (folder / "listings" / f"{LABELS[0]}.csv").read_text()
+    late = landing / "09_2031.csv"
+    late.mkdir()
+    (late / "part-0.csv").write_text(text)
+    assert arrive() == ["09_2031"]
+    (late / "part-1.csv").write_text(text)
+    assert arrive() == ["09_2031"]
+    assert stored()[dt.date(2031, 9, 1)] == 2 * before[PERIODS[0]]
+    (landing / "notes.csv").write_text(text)
+    with pytest.raises(ValueError):
+        arrive()
