@@ -34,7 +34,7 @@ from stratamart.sources.bronze import raw_listings
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
 from stratamart.sources.results import write_result_csv
-from stratamart.sources.tables import Warehouse, even_files, replace_slices
+from stratamart.sources.tables import Warehouse, even_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -295,17 +295,16 @@ def positional_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month delivered with finished lines only; then all months from 2000 on again, whole."""
-    path = fresh_path(spark, "period-replace")
+    warehouse = Warehouse(spark, fresh_path(spark, "period-replace"))
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linestatus", "l_extendedprice", fn.month_start(ship_date()).alias("load_month")
     )
     first = lines.where("l_linestatus = 'F'")
     again = lines.where("load_month >= DATE'2000-01-01'")
     for delivery in (first, again, again):
-        replace_slices(even_files(delivery, "load_month"), path, "load_month")
+        warehouse.replace("bronze.lines", even_files(delivery, "load_month"), "load_month")
     return published(
-        spark.read.schema(lines.schema)
-        .parquet(path)
+        warehouse.read("bronze.lines")
         .groupBy("load_month")
         .agg(
             rows().alias("n"),
@@ -316,12 +315,12 @@ def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reference_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer list delivered twice in full; the second delivery replaces the first."""
-    path = fresh_path(spark, "reference-refresh")
+    warehouse = Warehouse(spark, fresh_path(spark, "reference-refresh"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     old = customers.withColumn("c_name", F.lower("c_name"))
     for delivery in (old, customers):
-        replace_slices(delivery.withColumn("load_slice", F.lit("current")), path, "load_slice")
-    return spark.read.schema(customers.schema).parquet(path).select("c_custkey", "c_name", "c_nationkey")
+        warehouse.replace("bronze.customers", delivery.withColumn("load_slice", F.lit("current")), "load_slice")
+    return warehouse.read("bronze.customers").select("c_custkey", "c_name", "c_nationkey")
 
 
 def backfill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
