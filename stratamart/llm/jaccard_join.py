@@ -94,13 +94,11 @@ def signatures(spark: SparkSession, bands: int, rows: int):
     @F.arrow_udf("struct<node: binary, bands: array<bigint>>")
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            nodes, hashes = [pa.array([], pa.binary())], [np.zeros((0, bands), dtype=np.int64)]
-            for block in blocks(texts):
-                nodes.append(_binary(text_keys(block), block.words_per_text == 0))
-                hashes.append(band_hashes(block, bands, rows))
-            flat = np.concatenate(hashes)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * bands, pa.int32()), pa.array(flat.ravel()))
-            yield pa.StructArray.from_arrays([pa.concat_arrays(nodes), lists], names=["node", "bands"])
+            for block in blocks(texts):  # handed over block by block: memory follows the block
+                nodes = _binary(text_keys(block), block.words_per_text == 0)
+                hashes = band_hashes(block, bands, rows)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1) * bands, pa.int32()), pa.array(hashes.ravel()))
+                yield pa.StructArray.from_arrays([nodes, lists], names=["node", "bands"])
 
     return sign
 
@@ -112,18 +110,15 @@ def text_sets(spark: SparkSession):
     @F.arrow_udf("struct<node: binary, grams: array<bigint>>")
     def collect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            nodes, lists = [pa.array([], pa.binary())], []
             for block in blocks(texts):
-                nodes.append(_binary(text_keys(block), block.words_per_text == 0))
+                nodes, lists = _binary(text_keys(block), block.words_per_text == 0), []
                 grams, at = block.ngrams(WORDS, whole_if_short=True)
                 for a, b in zip(at[:-1], at[1:]):
                     own = np.sort(grams[a:b].view(np.int64))
                     lists.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) else own)
-            sizes = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists]))
-            yield pa.StructArray.from_arrays(
-                [pa.concat_arrays(nodes), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)], names=["node", "grams"]
-            )
+                sizes = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]), pa.int32())
+                flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *lists]))
+                yield pa.StructArray.from_arrays([nodes, pa.ListArray.from_arrays(sizes, flat)], names=["node", "grams"])
 
     return collect
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 BLOCK_TEXTS = 1 << 12
 
 _SPACE = np.zeros(256, dtype=bool)
