@@ -27,9 +27,9 @@ from stratamart.operators.history import as_dimension, merge_versions, versions_
 from stratamart.operators.storage import fresh_path, written_once
 from stratamart.operators.temporal import as_of_join, newest, published_until, trailing_months
 from stratamart.plans import analysis, gold, marts, pipeline
-from stratamart.plans.silver import silver_listings
+from stratamart.plans.silver import silver_census_medians, silver_census_persons, silver_listings
 from stratamart.plans.snapshots import advance_snapshot
-from stratamart.schemas import LISTING_COLUMNS
+from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
 from stratamart.sources.bronze import raw_listings
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
@@ -293,6 +293,59 @@ def positional_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _delivered(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """Line items as CSV files, each with a byte-order mark, with stray quotes, line breaks, blank rows and
+    trailing cells."""
+    folder = fresh_path(spark, "deliveries")
+    line = F.col("l_linenumber")
+    note = F.when(line == 1, F.lit('5" pipe')).when(line == 2, F.lit('"two\nlines, ""x"""')).when(line == 3, F.lit('"a,b"'))
+    record = F.when(line == 7, F.lit(" ,,,")).otherwise(
+        F.concat_ws(",", F.col("l_orderkey"), F.coalesce(note, F.lit("")), line, F.lit('6" z'), F.lit('"w\n"'))
+    )
+    bucket = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(files)).alias("bucket")
+    records = table(spark, sf_dir, "lineitem").select(record.alias("value"), bucket, F.lit(1).alias("place"))
+    header = spark.range(files).select(F.lit("\ufeffORDER,NOTE,LINE").alias("value"), F.col("id").alias("bucket"), F.lit(0).alias("place"))
+    rows_ = records.unionByName(header).repartition(files, "bucket").sortWithinPartitions("bucket", "place")
+    rows_.drop("place").write.partitionBy("bucket").text(folder)
+    return f"{folder}/bucket=*"
+
+
+def csv_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries as one file and as 16 files: the rows read do not depend on sizes."""
+    forms = [
+        read_positional_csv(spark, _delivered(spark, sf_dir, files), ["order_key", "note", "line"], cut_extra=True)
+        .groupBy("note", "line")
+        .agg(rows().alias("n"), F.sum(F.col("order_key").cast("bigint")).alias("order_keys"))
+        .withColumn("files", F.lit(files))
+        for files in (1, 16)
+    ]
+    return forms[0].unionByName(forms[1])
+
+
+def census_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw census text cleaned: codes trimmed, counts and medians typed, blanks NULL."""
+    code = F.col("c_nationkey").cast("string")
+    text = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.count(F.when(F.col("c_mktsegment") == "BUILDING", 1)).cast("string").alias("tot_p_m"),
+        F.lit("").alias("tot_p_f"),
+        F.concat(F.lit(" "), rows().cast("string")).alias("tot_p_p"),
+        F.max(F.length("c_name")).cast("string").alias("median_age_persons"),
+        F.lit("").alias("median_mortgage_repay_monthly"),
+    )
+    code = F.concat(F.lit("LGA"), F.lpad(code, 5, "0"))
+    people = silver_census_persons(_as_text(text.withColumn("lga_code_2016", F.concat(F.lit(" "), code)), "census_g01_raw"))
+    medians = silver_census_medians(_as_text(text.withColumn("lga_code_2016", code), "census_g02_raw"))
+    return people.select("lga_code", "total_pop_male", "total_pop_female", "total_pop").join(
+        medians.select("lga_code", "median_age_persons", "median_mortgage_monthly"), "lga_code"
+    )
+
+
+def _as_text(df: DataFrame, layout: str) -> DataFrame:
+    """The columns of a reference file as text, NULL where ``df`` has none."""
+    columns = REFERENCE_FILES[layout].columns
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in columns])
+
+
 def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month delivered with finished lines only; then all months from 2000 on again, whole."""
     warehouse = Warehouse(spark, fresh_path(spark, "period-replace"))
@@ -769,6 +822,8 @@ QUERIES: dict[str, Query] = {
     "safe_ratio": safe_ratio,
     "silver_listings": silver_from_text,
     "positional_csv": positional_csv,
+    "csv_any_size": csv_any_size,
+    "census_silver": census_silver,
     "period_replace": period_replace,
     "reference_refresh": reference_refresh,
     "backfill_order": backfill_order,

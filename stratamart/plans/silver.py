@@ -18,6 +18,7 @@ from stratamart.functions import (
 )
 from stratamart.operators.dedup import latest_per_key
 
+# The published columns, in order.
 SILVER_LISTING_COLUMNS = (
     "listing_id",
     "month_key",
