@@ -1,0 +1,91 @@
+"""Tables behind a pointer, bounded temporal joins, medians over one shuffle."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stratamart.operators.metrics import exact_quantile
+from stratamart.operators.temporal import as_of_join
+from stratamart.sources.tables import Warehouse
+
+
+def months(spark, **rows):
+    """Rows (month, x) from month names like m3=[1, 2]."""
+    flat = [(dt.date(2031, int(name[1:]), 1), x) for name, xs in rows.items() for x in xs]
+    return spark.createDataFrame(flat, "month date, x int")
+
+
+def content(warehouse):
+    return sorted((r.month.month, r.x) for r in warehouse.read("silver.t").collect())
+
+
+def test_a_lost_writer_leaves_the_old_state(spark, warehouse, monkeypatch):
+    warehouse.replace("silver.t", months(spark, m1=[1, 2], m2=[3]), "month")
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_switch", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            warehouse.replace("silver.t", months(spark, m2=[9, 9], m3=[9]), "month")
+        with pytest.raises(RuntimeError, match="lost"):
+            warehouse.rebuild("silver.t", months(spark, m4=[9]), "month")
+    other_session = Warehouse(spark.newSession(), warehouse.root)
+    assert content(other_session) == [(1, 1), (1, 2), (2, 3)]
+    assert warehouse.replace("silver.t", months(spark, m2=[4], m3=[5]), "month") == (2, {dt.date(2031, 2, 1), dt.date(2031, 3, 1)})
+    assert content(other_session) == [(1, 1), (1, 2), (2, 4), (3, 5)]
+
+
+def test_a_reader_keeps_its_version_and_old_files_go(spark, warehouse, tmp_path):
+    warehouse.replace("silver.t", months(spark, m1=[1], m2=[2]), "month")
+    begun = warehouse.read("silver.t")
+    warehouse.replace("silver.t", months(spark, m2=[3]), "month")
+    assert sorted(r.x for r in begun.collect()) == [1, 2] and content(warehouse) == [(1, 1), (2, 3)]
+    for x in range(10, 15):
+        warehouse.replace("silver.t", months(spark, m2=[x]), "month")
+    assert content(warehouse) == [(1, 1), (2, 14)]
+    folders = sorted(p.relative_to(tmp_path).as_posix() for p in (tmp_path / "warehouse/silver/t").glob("_version=*/month=*"))
+    assert len(folders) == 3  # month 1, and month 2 in the current and the previous version
+    assert warehouse.slices("silver.t", "month") == [dt.date(2031, 1, 1), dt.date(2031, 2, 1)]
+
+
+def test_open_slices_empty_tables_and_unknown_ones(spark, warehouse):
+    rows = spark.createDataFrame([(None, 1), (dt.date(2031, 1, 1), 2)], "month date, x int")
+    assert warehouse.replace("silver.t", rows, "month").slices == {None, dt.date(2031, 1, 1)}
+    assert warehouse.read("silver.t").where("month IS NULL").first().x == 1
+    assert warehouse.replace("silver.t", rows.where("false"), "month") == (0, set())
+    assert warehouse.read("silver.t").count() == 2
+    assert warehouse.rebuild("silver.t", rows.where("false"), "month").columns == ["x", "month"]
+    assert warehouse.read("silver.t").count() == 0
+    assert not warehouse.exists("silver.u")
+    with pytest.raises(ValueError, match="not been stored"):
+        warehouse.read("silver.u")
+
+
+def test_history_outside_the_bounds_is_not_read(spark, warehouse):
+    starts = [(k, dt.date(2030, m, 1), dt.date(2030, m + 1, 1) if m < 9 else None) for k in range(3) for m in range(1, 10)]
+    versions = spark.createDataFrame(starts, "k int, valid_from date, valid_to date").withColumn("v", F.month("valid_from"))
+    warehouse.rebuild("silver.v", versions, "valid_to")
+    due = [dt.date(2030, 6, 1), dt.date(2030, 8, 1)]
+    facts = spark.createDataFrame([(k, day) for k in range(3) for day in due], "k int, day date")
+    joined = as_of_join(facts, warehouse.read("silver.v"), "k", "day", until=due[1], since=due[0], grain="month")
+    assert {(r.day.month, r.v) for r in joined.collect()} == {(6, 6), (8, 8)} and joined.count() == 6
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(valid_to" in plan and "> 2030-06-01)" in plan
+
+
+@pytest.mark.parametrize("bounds", [{"until": dt.date(2030, 5, 1)}, {"since": dt.date(2030, 7, 1)}])
+def test_facts_beyond_the_bounds_fail(spark, bounds):
+    facts = spark.createDataFrame([(1, dt.date(2030, 6, 1))], "k int, day date")
+    versions = spark.createDataFrame([(1, dt.date(2030, 1, 1), None)], "k int, valid_from date, valid_to date")
+    with pytest.raises(PySparkException, match="beyond the bounds"):
+        as_of_join(facts, versions, "k", "day", **bounds).collect()
+
+
+def test_median_counts_values_once(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), (F.col("id") * 37 % 101).cast("double").alias("x"))
+    found = exact_quantile(df, ["k"], "x", "m")
+    assert found.count() == 7
+    found.collect()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    whole = exact_quantile(df, [], "x", "m").first().m
+    assert whole == df.selectExpr("percentile(x, 0.5) AS m").first().m
