@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from stratamart.llm.ship import ship
 from stratamart.llm.storage import documents
 
-KEPT_WORDS = 300_000
-KEPT_CHUNKS = 200_000
+KEPT_WORDS = 200_000
+KEPT_CHUNKS = 150_000
 #: Characters that Python and the tokenizers library class alike, but for the four separators 1C to 1F.
 _UNUSUAL = re.compile(r"[\x1c-\x1f]|[^\x00-ԯ‐-‧‰-⁞€™]")
 #: The file's pattern, for the usual characters: contractions, letters, one number sign, other signs.
@@ -193,6 +193,17 @@ class Bpe:
         return " ".join([x for x in found if x])
 
 
+_resident: dict[str, Bpe] = {}
+
+
+def resident(bpe: Bpe) -> Bpe:
+    """The one coder that a worker keeps for a file, so that its words outlive a task but are kept only once."""
+    if bpe.file_text not in _resident:
+        _resident.clear()
+        _resident[bpe.file_text] = bpe
+    return _resident[bpe.file_text]
+
+
 def default_file() -> str:
     import public_tokenizers
 
@@ -215,7 +226,7 @@ def encoder(spark: SparkSession, path: str | None = None):
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = shared.value
+        bpe = resident(shared.value)
         for texts in batches:
             coded = [bpe.encode(x.as_py()) for x in texts]
             yield _id_lists(coded)
@@ -229,7 +240,7 @@ def decoder(spark: SparkSession, path: str | None = None):
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = shared.value
+        bpe = resident(shared.value)
         for lists in batches:
             yield pa.array([bpe.decode(np.array(x.as_py() or [], dtype="<u4").tobytes()) for x in lists], pa.string())
 
@@ -245,7 +256,7 @@ def digests(spark: SparkSession, path: str | None = None, with_ids: bool = False
 
     @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + (", ids: array<int>>" if with_ids else ">"))
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = shared.value
+        bpe = resident(shared.value)
         for texts in batches:
             counts, ids, decoded, coded = [], [], [], []
             for x in texts:
