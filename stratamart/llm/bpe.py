@@ -3,7 +3,7 @@
 A text is cut at the file's special tokens, normalised (NFC, white space, lower case), split into words, and each word
 is merged: its symbols form a doubly linked list, adjacent pairs wait in a priority queue by merge rank and place, and
 an entry whose pair has changed meanwhile is skipped. Decoding looks the ids up and joins their vocabulary strings (by
-a space, as the file has no decoder). Merged words are kept in two dictionaries of bounded size per worker.
+a space, as the file has no decoder). Merged words are kept in dictionaries of bounded size, once per worker.
 
 The file has to be of this kind: BPE with word ends, byte-level symbols, no decoder. It is sent to the workers once.
 
@@ -19,6 +19,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cached_property
 from hashlib import sha256
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from stratamart.llm.ship import ship
 from stratamart.llm.storage import documents
 
-KEPT_WORDS = 200_000
-KEPT_CHUNKS = 150_000
+KEPT_WORDS = 150_000
+KEPT_CHUNKS = 100_000
+ROWS_AT_ONCE = 200
 #: Characters that Python and the tokenizers library class alike, but for the four separators 1C to 1F.
 _UNUSUAL = re.compile(r"[\x1c-\x1f]|[^\x00-ԯ‐-‧‰-⁞€™]")
 #: The file's pattern, for the usual characters: contractions, letters, one number sign, other signs.
@@ -51,12 +53,14 @@ class Bpe:
 
     def __init__(self, file_text: str) -> None:
         self.file_text = file_text
+        # what has been merged, in two generations: a full one becomes the old one, what is used again returns
+        self._words: dict[str, bytes] = {}
+        self._old_words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
+        self._old_chunks: dict[str, bytes] = {}
 
-    def __getstate__(self) -> str:
-        return self.file_text
-
-    def __setstate__(self, file_text: str) -> None:
-        self.file_text = file_text
+    def __reduce__(self):
+        return Bpe, (self.file_text,)
 
     @cached_property
     def _file(self) -> dict:
@@ -92,14 +96,6 @@ class Bpe:
             out[at] = text
         return out
 
-    @cached_property
-    def _words(self) -> dict[str, bytes]:
-        return {}
-
-    @cached_property
-    def _chunks(self) -> dict[str, bytes]:
-        return {}
-
     @cached_property
     def _library(self):
         from tokenizers import Tokenizer
@@ -143,20 +139,24 @@ class Bpe:
     def _word(self, word: str) -> bytes:
         ids = self._words.get(word)
         if ids is None:
-            ids = np.array(self.merge(word), dtype="<u4").tobytes()
-            if len(self._words) >= KEPT_WORDS:
-                self._words.clear()
+            ids = self._old_words.get(word)
+            if ids is None:
+                ids = array("I", self.merge(word)).tobytes()
             if len(word) < 64:
                 self._words[word] = ids
+                if len(self._words) >= KEPT_WORDS:
+                    self._old_words, self._words = self._words, {}
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of usual text without white space."""
-        ids = b"".join([self._word(x) for x in _PIECES.findall(chunk)])
-        if len(self._chunks) >= KEPT_CHUNKS:
-            self._chunks.clear()
+        ids = self._old_chunks.get(chunk)
+        if ids is None:
+            ids = b"".join([self._word(x) for x in _PIECES.findall(chunk)])
         if len(chunk) < 64:
             self._chunks[chunk] = ids
+            if len(self._chunks) >= KEPT_CHUNKS:
+                self._old_chunks, self._chunks = self._chunks, {}
         return ids
 
     def _plain(self, text: str) -> bytes:
@@ -220,6 +220,13 @@ def _id_lists(coded: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), dtype="<i4")))
 
 
+def _parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The same rows in smaller arrays: results are handed over as they are made."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def encoder(spark: SparkSession, path: str | None = None):
     """Column function: text to ids (array of int)."""
     shared = ship(spark).broadcast(coder(spark, path))
@@ -227,9 +234,8 @@ def encoder(spark: SparkSession, path: str | None = None):
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = resident(shared.value)
-        for texts in batches:
-            coded = [bpe.encode(x.as_py()) for x in texts]
-            yield _id_lists(coded)
+        for texts in _parts(batches):
+            yield _id_lists([bpe.encode(x.as_py()) for x in texts])
 
     return encode
 
@@ -241,7 +247,7 @@ def decoder(spark: SparkSession, path: str | None = None):
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = resident(shared.value)
-        for lists in batches:
+        for lists in _parts(batches):
             yield pa.array([bpe.decode(np.array(x.as_py() or [], dtype="<u4").tobytes()) for x in lists], pa.string())
 
     return decode
@@ -257,7 +263,7 @@ def digests(spark: SparkSession, path: str | None = None, with_ids: bool = False
     @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + (", ids: array<int>>" if with_ids else ">"))
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = resident(shared.value)
-        for texts in batches:
+        for texts in _parts(batches):
             counts, ids, decoded, coded = [], [], [], []
             for x in texts:
                 own = bpe.encode(x.as_py())
