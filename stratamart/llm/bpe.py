@@ -3,7 +3,7 @@
 A text is cut at the file's special tokens, normalised (NFC, white space, lower case), split into words, and each word
 is merged: its symbols form a doubly linked list, adjacent pairs wait in a priority queue by merge rank and place, and
 an entry whose pair has changed meanwhile is skipped. Decoding looks the ids up and joins their vocabulary strings (by
-a space, as the file has no decoder). Merged words are kept in dictionaries of bounded size, once per worker.
+a space, as the file has no decoder). Merged words are kept in dictionaries of bounded size while a task runs.
 
 The file has to be of this kind: BPE with word ends, byte-level symbols, no decoder. It is sent to the workers once.
 
@@ -193,17 +193,6 @@ class Bpe:
         return " ".join([x for x in found if x])
 
 
-_resident: dict[str, Bpe] = {}
-
-
-def resident(bpe: Bpe) -> Bpe:
-    """The one coder that a worker keeps for a file, so that its words outlive a task but are kept only once."""
-    if bpe.file_text not in _resident:
-        _resident.clear()
-        _resident[bpe.file_text] = bpe
-    return _resident[bpe.file_text]
-
-
 def default_file() -> str:
     import public_tokenizers
 
@@ -233,7 +222,7 @@ def encoder(spark: SparkSession, path: str | None = None):
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = resident(shared.value)
+        bpe = Bpe(shared.value.file_text)  # its words are let go when the task ends
         for texts in _parts(batches):
             yield _id_lists([bpe.encode(x.as_py()) for x in texts])
 
@@ -246,7 +235,7 @@ def decoder(spark: SparkSession, path: str | None = None):
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = resident(shared.value)
+        bpe = Bpe(shared.value.file_text)  # its words are let go when the task ends
         for lists in _parts(batches):
             yield pa.array([bpe.decode(np.array(x.as_py() or [], dtype="<u4").tobytes()) for x in lists], pa.string())
 
@@ -262,7 +251,7 @@ def digests(spark: SparkSession, path: str | None = None, with_ids: bool = False
 
     @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string" + (", ids: array<int>>" if with_ids else ">"))
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = resident(shared.value)
+        bpe = Bpe(shared.value.file_text)  # its words are let go when the task ends
         for texts in _parts(batches):
             counts, ids, decoded, coded = [], [], [], []
             for x in texts:
