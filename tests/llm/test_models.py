@@ -140,6 +140,31 @@ def test_toxicity_is_learnt_and_repeats(make, labels_of, odd_rows):
     assert kept.count() == sum(r.s < 0.5 for r in got)
 
 
+def test_rare_toxic_labels_do_not_make_the_cut_stricter(make, labels_of):
+    rows, labels = [], []
+    for i in range(5000, 6200):
+        words = prose(i, 30).split()
+        toxic = i % 25 == 0
+        if toxic:
+            words[i % 29] = ("stupid", "worthless", "clownish")[i % 3]
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, 1, int(toxic)))
+    docs = make(rows)
+    weights, bias = toxicity.train(docs, labels_of(labels))
+    got = docs.select("doc_id", toxicity.scorer(docs.sparkSession, weights, bias)("text").alias("s")).collect()
+    held = [(r.doc_id % 25 == 0, r.s >= 0.5) for r in got if not fold(r.doc_id, 5)]
+    toxic, clean = [p for t, p in held if t], [p for t, p in held if not t]
+    assert len(toxic) >= 8 and np.mean(toxic) >= 0.8 and np.mean(clean) < 0.05
+
+
+def test_the_cut_has_the_fewest_errors():
+    cut = lambda toxic, clean: toxicity.balanced_cut(np.array(toxic, float), np.array(clean, float))
+    assert cut([5, 6], [1, 2]) == 3.5  # the middle of the gap
+    assert cut([5], [1, 2] * 50) == 3.5  # however rare
+    assert cut([1, 5, 6, 7], [0, 1, 2, 2]) == 3.5
+    assert cut([2], [2]) == 2
+
+
 def test_toxicity_ratios_equal_brute_force(make, labels_of):
     texts = {1: "aaaaa bbbbb", 2: "aaaaa ccccc", 3: "ddddd bbbbb", 4: "x", 6: "aaaaaaaaa"}
     for block in blocks(pa.array(list(texts.values()))):
