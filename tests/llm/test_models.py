@@ -101,6 +101,26 @@ def test_perplexity_without_text_or_trust(make, labels_of, nothing):
     assert {(r.doc_id, r.kept, r.perplexity and round(r.perplexity)) for r in rows} == {(1, True, 256), (2, False, None)}
 
 
+def test_an_outlier_does_not_set_the_limit(spark, make, labels_of):
+    rows = [(None, "en", 1 + k / 1000) for k in range(100)] + [(None, "en", 9.0), (None, "en", 9.0)]
+    rows += [(None, "de", 1.0 + k / 1000) for k in range(9)] + [(None, "de", 9.0)]
+    held = spark.createDataFrame(rows, "doc_id long, lang string, log_ppl double")
+    found = {("all" if r.every else r.lang): (r.limit, r.total) for r in perplexity.thresholds(held).collect()}
+    assert found["en"] == (pytest.approx(1.098, abs=2e-4), 102) and found["all"][1] == 112
+    assert found["de"] == (pytest.approx(9, abs=2e-4), 10)
+    frame = spark.createDataFrame([(lang, *found[lang]) for lang in ("en", "de")], "lang string, limit double, total long")
+    drawn = {r.lang: r.own for r in frame.select("lang", perplexity.own_limit(*found["all"]).alias("own")).collect()}
+    assert drawn["en"] == found["en"][0]
+    assert drawn["de"] == pytest.approx(0.2 * 9 + 0.8 * found["all"][0], abs=1e-3)
+
+    texts = [(i, prose(i % 40, 30), "en", "a") for i in range(2000, 2400)] + [(2400 + i, prose(i, 30, "#Q!"), "en", "a") for i in range(20)]
+    odd = next(i for i in range(3000, 3100) if not fold(i, 5))
+    texts.append((odd, prose(99, 30, "@Z~"), "en", "a"))
+    labels = [(i, 1, 0) for i in range(2000, 2400)] + [(odd, 1, 0)]
+    kept = {r.doc_id: r.kept for r in perplexity.judge(make(texts), labels_of(labels), order=3).select("doc_id", "kept").collect()}
+    assert not any(kept[2400 + i] for i in range(20)) and np.mean([kept[i] for i in range(2000, 2400)]) > 0.95
+
+
 # ---- linear fits ------------------------------------------------------------------------------
 
 
