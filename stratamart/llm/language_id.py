@@ -10,7 +10,7 @@ those with the smallest id hashes (the documented bound). One pass over a text s
 
 * null text, or one without a letter: ``und``, score 0. Rows of the learning folds without a language teach nothing.
 * one language only: it is predicted with score 1; none at all: ``und``. Ties go to the smaller name.
-* repeated rows are predicted alike. Empty table: an empty result. Extra columns are ignored.
+* repeated rows are predicted alike; of the rows of one id and language, the one with the smallest text hash teaches. Empty table: an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.linear import Rows, fit
 from stratamart.llm.ship import ship
-from stratamart.llm.storage import documents
+from stratamart.llm.storage import documents, one_row
 from stratamart.llm.text import Block, blocks, char_ngrams, lowered
 
 N_BUCKETS = 1 << 15
@@ -111,12 +111,13 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang")
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text RLIKE '\\\\p{L}'").where(~held_out(F.col("doc_id")))
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+    ids = known.select("doc_id", "lang").distinct().withColumn("hash", F.xxhash64("doc_id"))
     for part in ([F.pmod("hash", F.lit(64))], []):  # a language may hold most rows: first within 64 parts of it
         order = Window.partitionBy("lang", *part).orderBy("hash", "doc_id")
         ids = ids.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).drop("nth")
     sample = F.broadcast(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")))  # per_language of each language
-    rows = docs.join(sample, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("text", "lang")
+    rows = known.join(sample, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    rows = one_row(rows, "_lang", "_id").select("text", "lang")
     table = rows.mapInArrow(_frequencies, "lang string, buckets array<int>, shares array<float>").toArrow()
     named = np.array(table.column("lang").to_pylist(), dtype=object)
     languages = sorted(set(named))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -34,6 +34,12 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def one_row(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
+    """Of the rows that share ``keys``, the one with the smallest text hash; map tasks cut to one row per key first."""
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(1), text))
+    return df.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+
+
 def own_columns(df: DataFrame) -> list[Column]:
     """All columns of ``df``, whatever characters their names hold."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]

@@ -248,3 +248,41 @@ def test_one_language_and_none(make, nothing):
     predict = language_id.predictor(docs.sparkSession, language_id.train(docs.where("lang IS NULL")))
     assert {tuple(r.p) for r in docs.select(predict("text").alias("p")).collect()} == {("und", 0.0)}
     assert nothing.select(predict("text").alias("p")).count() == 0
+
+
+# ---- samples of ids that stand on many rows ----------------------------------------------------
+
+
+@pytest.fixture
+def fitted(monkeypatch):
+    """Row counts of every fit."""
+    seen = []
+    for module in (toxicity, language_id):
+
+        def counting(rows, sides, *args, own=module.fit, **kw):
+            seen.append((int((sides > 0).sum()), int((sides < 0).sum())))
+            return own(rows, sides, *args, **kw)
+
+        monkeypatch.setattr(module, "fit", counting)
+    return seen
+
+
+def test_an_id_on_many_rows_teaches_toxicity_once(make, labels_of, fitted):
+    rows = [(i, prose(i, 20) + (" stupid" if i % 2 else ""), "en", "a") for i in range(4000, 4100)]
+    labels = labels_of([(i, 1, i % 2) for i in range(4000, 4100)])
+    learnt = [i for i in range(4000, 4100) if fold(i, 5)]
+    again = [(i, prose(k, 20), "en", "a") for i in learnt for k in range(3)]
+    toxicity.train(make(rows), labels)
+    toxicity.train(make(rows + again), labels)
+    assert fitted[0] == fitted[1]
+    toxicity.train(make(rows + again), labels, per_class=5)
+    assert fitted[2] == (5, 5)
+
+
+def test_an_id_on_many_rows_teaches_a_language_once(make, fitted):
+    rows = [(i, sentence(lang, i), lang, "a") for k, lang in enumerate(("en", "de")) for i in range(100 * k + 10, 100 * k + 70)]
+    again = [(i, sentence(lang, i + k), lang, "a") for i, _, lang, _ in rows if fold(i, 3) != 1 for k in range(30)]
+    language_id.train(make(rows + again), per_language=20)
+    assert fitted == [(20, 20)]
+    model = language_id.train(make(rows + again + [(i, "42", "de", "a") for i in range(110, 170)]), per_language=200)
+    assert model.languages == ["de", "en"] and sum(fitted[1]) == sum(fold(i, 3) != 1 for i, *_ in rows)
