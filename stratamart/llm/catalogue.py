@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from stratamart.llm import bpe, jaccard_join, language_id, line_dedup, mixing, nearest, perplexity, quality_rules, sharding, toxicity
+from stratamart.llm import (
+    bpe,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    nearest,
+    perplexity,
+    quality_rules,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
     "op10_language_id": language_id.op10_language_id,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 ORACLE = {

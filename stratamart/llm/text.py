@@ -35,7 +35,7 @@ def mix(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to the block size, made anew for a longer text."""
     if len(_powers.get(base, ())) >= n:
         return _powers[base][:n]
@@ -93,8 +93,8 @@ class Block:
     def word_hashes(self) -> np.ndarray:
         n = len(self.data)
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=sums[1:])
-        raw = (sums[self.ends] - sums[self.starts]) * _power_table(_BASE_INVERSE, n + 1)[self.starts]
+        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
+        raw = (sums[self.ends] - sums[self.starts]) * powers(_BASE_INVERSE, n + 1)[self.starts]
         return mix(raw)
 
     def ngrams(self, n: int, whole_if_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
