@@ -7,6 +7,7 @@ from stratamart.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    manifest,
     mixing,
     nearest,
     perplexity,
@@ -27,10 +28,12 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
     "op10_language_id": language_id.op10_language_id,
+    "op12_manifest": manifest.op12_manifest,
     "op13_token_counts": token_counts.op13_token_counts,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op12_manifest": manifest.OP12_SQL,
 }
