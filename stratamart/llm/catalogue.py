@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stratamart.llm import (
+    alignment,
     bpe,
     jaccard_join,
     language_id,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_mixing": mixing.op9_mixing,
     "op10_language_id": language_id.op10_language_id,
+    "op11_alignment": alignment.op11_alignment,
     "op12_manifest": manifest.op12_manifest,
     "op13_token_counts": token_counts.op13_token_counts,
 }

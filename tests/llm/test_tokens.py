@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from stratamart.llm import token_counts
+from stratamart.llm import alignment, token_counts
 from tests.llm.conftest import prose
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -80,3 +80,100 @@ def test_a_model_whose_pieces_cross_words_is_refused(monkeypatch):
     model.pieces.append("a▁b")
     with pytest.raises(ValueError):
         model.check()
+
+
+# ---- alignment --------------------------------------------------------------------------------
+
+
+def aligned_by_hand(pair, rows):
+    """From the libraries' tokens, text by text, with sets and loops."""
+    import json
+    from collections import Counter
+    from hashlib import sha256
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    a_library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a_library.encode_special_tokens = True
+    vocab = {i: entry for entry, i in json.loads(pair.file_text)["model"]["vocab"].items()}
+    symbols = {c: b for b, c in enumerate(alignment.byte_symbols())}
+    b_library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+    def b_bytes(i):
+        piece = b_library.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b_library.is_byte(i) else piece.replace("▁", " ").encode()
+
+    found = []
+    for i, text, *_ in rows:
+        a = [(x, bytes(symbols[c] for c in vocab[x])) for x in a_library.encode(" " + (text or ""), add_special_tokens=False).ids]
+        b = [(x, b_bytes(x)) for x in b_library.encode(text or "")]
+        wanted = b" " + (text or "").encode()
+        if not text or any(b"".join(x for _, x in side) != wanted for side in (a, b)):
+            found.append((i, 0, 0, 0, Counter(), ""))
+            continue
+        ends = []
+        for side in (a, b):
+            at = [0]
+            for _, x in side:
+                at.append(at[-1] + len(x))
+            ends.append(at)
+        groups, links, low = [], Counter(), 0
+        for high in sorted(set(ends[0][1:]) & set(ends[1][1:])):
+            own = [[x for (x, _), end in zip(side, at[1:]) if low < end <= high] for side, at in zip((a, b), ends)]
+            links.update((x, y) for x in own[0] for y in own[1])
+            groups.append("|".join(",".join(map(str, x)) for x in own))
+            low = high
+        found.append((i, len(a), len(b), len(groups), links, sha256(";".join(groups).encode()).hexdigest()))
+    counts = Counter(pair for *_, links, _ in found for pair in links)
+    best = {}
+    for (x, _), n in counts.items():
+        best[x] = max(n, best.get(x, 0))
+    return Counter(
+        (i, n_a, n_b, n_groups, links.total(), sum(n for p, n in links.items() if counts[p] == best[p[0]]), sum(n * counts[p] for p, n in links.items()), digest)
+        for i, n_a, n_b, n_groups, links, digest in found
+    )
+
+
+def found(df):
+    from collections import Counter
+
+    return Counter(tuple(r) for r in df.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect())
+
+
+@pytest.mark.parametrize("hot", [alignment.HOT, 20, 0])
+def test_alignment_equals_the_definition(make, odd_rows, hot):
+    pair = alignment.tokenizers()
+    rows = odd_rows + [(100 + i, t) for i, t in enumerate([*PARTS, *mixed_texts(300, 8), *(prose(i, 60) for i in range(40))])]
+    assert found(alignment.alignment(make(rows, clashing=True), pair, hot)) == aligned_by_hand(pair, rows)
+
+
+def test_large_groups_are_linked_in_parts():
+    pair = alignment.tokenizers()
+    a = alignment.pa.table({"group": [0] * 60 + [1] * 3, "id_a": [i % 20 for i in range(60)] + [1, 2, 2]})
+    b = alignment.pa.table({"group": [0] * 50 + [1] * 2, "id_b": [i % 25 for i in range(50)] + [1, 1]})
+    doc = alignment.pa.array([0, 0])
+    rows = lambda t: sorted(map(tuple, zip(*t.to_pydict().values())))
+    assert rows(alignment.linked(a, b, doc, most=30)) == rows(alignment.linked(a, b, doc))
+    assert sum(r[3] for r in rows(alignment.linked(a, b, doc))) == 60 * 50 + 3 * 2
+    broken = alignment.align(pair, [b"fine text", b"broken \xff text", b""])
+    assert broken.field("n_groups").to_pylist()[1:] == [0, 0] and broken.field("groups_sha256").to_pylist()[1:] == ["", ""]
+
+
+def test_alignment_of_nothing(nothing, make):
+    assert alignment.alignment(nothing).count() == 0
+    assert found(alignment.alignment(make([(1, None), (2, "")]))) == {(1, 0, 0, 0, 0, 0, 0, ""): 1, (2, 0, 0, 0, 0, 0, 0, ""): 1}
+
+
+def test_both_libraries_split_every_character_alike():
+    """The faster library makes A's tokens; the vocabulary file's own one has to agree on every character."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own.encode_special_tokens = True
+    fast = alignment.tokenizers().a
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 20_000):
+        texts = [f"a{chr(c)}1{chr(c)}{chr(c)} {chr(c)}! {chr(c)}{chr(c)}1  {chr(c)}" for c in points[start : start + 20_000]]
+        assert [x.ids for x in own.encode_batch_fast(texts, add_special_tokens=False)] == fast.encode_ordinary_batch(texts, num_threads=4)
