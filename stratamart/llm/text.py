@@ -37,7 +37,7 @@ def mix(hashes: np.ndarray) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept up to the block size, made anew for a longer text."""
-    if len(_powers.get(base, ())) >= n:
+    if base in _powers and len(_powers[base]) >= n:
         return _powers[base][:n]
     table = np.full(max(n, 1), base, dtype=np.uint64)
     table[0] = 1

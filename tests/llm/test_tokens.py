@@ -118,12 +118,13 @@ def aligned_by_hand(pair, rows):
             for _, x in side:
                 at.append(at[-1] + len(x))
             ends.append(at)
-        groups, links, low = [], Counter(), 0
+        groups, links, done = [], Counter(), [0, 0]
         for high in sorted(set(ends[0][1:]) & set(ends[1][1:])):
-            own = [[x for (x, _), end in zip(side, at[1:]) if low < end <= high] for side, at in zip((a, b), ends)]
+            upto = [at.index(high, k) for at, k in zip(ends, done)]
+            own = [[x for x, _ in side[k:n]] for side, k, n in zip((a, b), done, upto)]
             links.update((x, y) for x in own[0] for y in own[1])
             groups.append("|".join(",".join(map(str, x)) for x in own))
-            low = high
+            done = upto
         found.append((i, len(a), len(b), len(groups), links, sha256(";".join(groups).encode()).hexdigest()))
     counts = Counter(pair for *_, links, _ in found for pair in links)
     best = {}
