@@ -32,7 +32,7 @@ from stratamart.llm.ship import ship
 from stratamart.llm.storage import documents, stored
 from stratamart.llm.text import Block, blocks, mix, powers, sums_per_text, text_of
 
-HOT = 1 << 16
+HOT = 1 << 18
 LIMIT = 4096
 HELD = 200_000
 SPACE = "▁"
@@ -164,8 +164,8 @@ def distinct_pre_tokens(docs: DataFrame, model: bytes) -> tuple[DataFrame, int]:
     shared = context.broadcast(model)
     for base in _BASES:
         kinds = docs.select("text").mapInArrow(_kinds(alone, base), "hash long, text binary, n long")
-        kinds = stored(kinds.groupBy("hash").agg(F.sum("n").alias("n"), F.min("text").alias("text"), F.max("text").alias("other")), "pre-tokens")
-        if kinds.where("text != other").isEmpty():
+        kinds = stored(kinds.groupBy("hash", "text").agg(F.sum("n").alias("n")), "pre-tokens")
+        if kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").isEmpty():
             return stored(kinds.select("hash", "n", _counted(shared)("text").alias("pieces")), "pieces"), base
     raise ValueError("different pre-tokens share a hash under every base")
 
