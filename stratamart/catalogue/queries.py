@@ -33,6 +33,7 @@ from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
 from stratamart.sources.bronze import raw_listings
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
+from stratamart.sources.records import read_split_csv
 from stratamart.sources.results import write_result_csv
 from stratamart.sources.tables import Warehouse, even_files
 
@@ -322,6 +323,20 @@ def csv_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forms[0].unionByName(forms[1])
 
 
+def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delivery as one file, read in about 7 and about 40 splits whose borders fall anywhere."""
+    path = _delivered(spark, sf_dir, 1)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]  # listed, not read
+    forms = [
+        read_split_csv(spark, path, ["order_key", "note", "line"], cut_extra=True, split_bytes=size // splits)
+        .groupBy("note", "line")
+        .agg(rows().alias("n"), F.sum(F.col("order_key").cast("bigint")).alias("order_keys"))
+        .withColumn("splits", F.lit(splits))
+        for splits in (7, 40)
+    ]
+    return forms[0].unionByName(forms[1])
+
+
 def census_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw census text cleaned: codes trimmed, counts and medians typed, blanks NULL."""
     code = F.col("c_nationkey").cast("string")
@@ -823,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "silver_listings": silver_from_text,
     "positional_csv": positional_csv,
     "csv_any_size": csv_any_size,
+    "csv_split_records": csv_split_records,
     "census_silver": census_silver,
     "period_replace": period_replace,
     "reference_refresh": reference_refresh,

@@ -16,6 +16,7 @@ from stratamart.schemas import (
 )
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import parse_period_label, require_month_start
+from stratamart.sources.records import read_split_csv
 from stratamart.sources.tables import Warehouse
 
 _SLICE = "load_slice"
@@ -29,18 +30,25 @@ def listings_schema() -> StructType:
 
 
 def load_listings_period(
-    warehouse: Warehouse, source: str, period: dt.date, multiline: bool = True
+    warehouse: Warehouse,
+    source: str,
+    period: dt.date,
+    multiline: bool = True,
+    split_files: bool = False,
 ) -> int:
     """Replace one month of raw listings with the delivery at ``source``; returns its row count.
 
     A delivery with no rows, or with a row that is too short, is an error and leaves the table
     as it was: nothing moves before the write has succeeded, and a write without rows replaces
-    no slice.
+    no slice. ``split_files`` reads large files by many tasks, whatever their cells hold.
     """
     require_month_start(period)
-    delivery = read_positional_csv(
-        warehouse.spark, source, LISTING_COLUMNS, cut_extra=True, multiline=multiline
-    )
+    if split_files:
+        delivery = read_split_csv(warehouse.spark, source, LISTING_COLUMNS, cut_extra=True)
+    else:
+        delivery = read_positional_csv(
+            warehouse.spark, source, LISTING_COLUMNS, cut_extra=True, multiline=multiline
+        )
     rows = warehouse.replace(
         _LISTINGS,
         delivery.withColumn("loaded_at", F.current_timestamp()).withColumn(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from stratamart.schemas import text_schema
 
@@ -14,8 +14,8 @@ _RAW = "_raw_row"
 
 
 # A cell is quoted only when a quote opens it; quotes further on in a cell are ordinary signs.
-_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
-_WHOLE_LINE = rf"^(?:{_CELL},)*+{_CELL}$"
+CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
+_WHOLE_LINE = rf"^(?:{CELL},)*+{CELL}$"
 
 
 def _require_whole_lines(spark: SparkSession, path: str) -> None:
@@ -40,15 +40,14 @@ def read_positional_csv(
     reads as a single newline; a byte-order mark is ignored.
 
     ``path`` may be a file or a folder of files. A file is read by one task, as any cell may hold
-    line breaks, whatever the file's size: deliver large months as folders of files. The caller may
+    line breaks, whatever the file's size; ``records.read_split_csv`` reads large files by many. The caller may
     state with ``multiline=False`` that no cell does; files are then read in splits, after a pass over
     the lines that fails when the statement is wrong.
     """
     if not multiline:
         _require_whole_lines(spark, path)
-    schema = text_schema(tuple(columns)).add(_RAW, StringType())
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(row_schema(columns))
         .option("header", True)
         .option("multiLine", multiline)
         .option("quote", '"')
@@ -59,8 +58,18 @@ def read_positional_csv(
         .option("columnPruning", False)
         .csv(path)
     )
+    return checked_rows(rows, columns, cut_extra)
+
+
+def row_schema(columns: Sequence[str]) -> StructType:
+    """The columns as text, and last the raw row of another length."""
+    return text_schema(tuple(columns)).add(_RAW, StringType())
+
+
+def checked_rows(rows: DataFrame, columns: Sequence[str], cut_extra: bool) -> DataFrame:
+    """Rows of ``row_schema`` without blank ones; a row with too few cells (or, uncut, too many) fails the job."""
     odd = F.col(_RAW).isNotNull()  # a row of another length than the schema
-    cells = F.regexp_count(_RAW, F.lit(rf"(?:^|,){_CELL}"))
+    cells = F.regexp_count(_RAW, F.lit(rf"(?:^|,){CELL}"))
     accepted = cells > len(columns) if cut_extra else F.lit(False)
     filled = F.when(odd, F.regexp_replace(_RAW, r'(?U)[",\s]', "") != "").otherwise(
         F.concat_ws("", *[F.col(c) for c in columns]).rlike(r"(?U)\S")
