@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratamart.operators.storage import written_once
 from stratamart.plans import analysis, gold, marts, silver
 from stratamart.plans.checks import failing_rows, require_all
 from stratamart.plans.snapshots import advance_snapshot, rebuild_snapshot
@@ -41,13 +42,19 @@ def newest_loaded_period(warehouse: Warehouse) -> dt.date:
     return loaded[-1]
 
 
-def _file_months(typed: DataFrame) -> DataFrame:
-    """Which months the rows of each file belong to: a few pairs per file."""
-    return typed.select("month_key", "load_month").distinct()
+def _noted(typed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Typed rows that note, while they are read, which months the rows of each file belong to: a few pairs a file."""
+    noted = Observation()
+    pairs = F.collect_set(F.struct(F.col("load_month").cast("string"), F.col("month_key").cast("string")))
+    return typed.observe(noted, pairs.alias("pairs")), noted
 
 
-def _pairs(file_months: DataFrame) -> set[tuple[dt.date, dt.date]]:
-    return {(r.load_month, r.month_key) for r in file_months.collect()}
+def _pairs(noted: Observation) -> set[tuple[dt.date, dt.date]]:
+    return {tuple(map(dt.date.fromisoformat, pair)) for pair in noted.get["pairs"]}
+
+
+def _pair_rows(warehouse: Warehouse, pairs: set[tuple[dt.date, dt.date]]) -> DataFrame:
+    return warehouse.spark.createDataFrame([(month, file) for file, month in sorted(pairs)], "month_key date, load_month date")
 
 
 def _refresh_silver(
@@ -57,28 +64,30 @@ def _refresh_silver(
 
     A month's rows can lie in several files. The stored list of file months tells which, so a
     partial refresh reads the changed files and those sharing a month with them, not the whole
-    raw table. Returns the months rewritten, or None when everything was.
+    raw table. Each raw row is parsed once. Returns the months rewritten, or None when everything was.
     """
     typed = silver.typed_listings(raw_listings(warehouse))
     if changed is not None and warehouse.exists(_SILVER) and warehouse.exists(_FILE_MONTHS):
         files = set(changed)
-        found = _file_months(typed.where(F.col("load_month").isin(list(files))))
-        pairs = _pairs(found)
-        stored = _pairs(warehouse.read(_FILE_MONTHS))
+        rows, noted = _noted(typed.where(F.col("load_month").isin(list(files))))
+        rows = written_once(rows, "changed-files")  # which months they touch is known once they are read
+        pairs = _pairs(noted)
+        stored = {(r.load_month, r.month_key) for r in warehouse.read(_FILE_MONTHS).collect()}
         months = {month for file, month in stored | pairs if file in files}
-        needed = files | {file for file, month in stored if month in months}
-        rows = typed.where(
-            F.col("load_month").isin(list(needed)) & F.col("month_key").isin(list(months))
-        )
+        others = {file for file, month in stored if month in months} - files
+        if others:
+            shared = F.col("load_month").isin(list(others)) & F.col("month_key").isin(list(months))
+            rows = rows.unionByName(typed.where(shared))
         latest = even_files(silver.latest_listings(rows), "month_key")
         # a month or file left without rows has no new slice to replace its old one with
         if files == {file for file, _ in pairs} and (
             warehouse.replace(_SILVER, latest, "month_key").slices == months
         ):
-            warehouse.replace(_FILE_MONTHS, found, "load_month")
+            warehouse.replace(_FILE_MONTHS, _pair_rows(warehouse, pairs), "load_month")
             return months
-    warehouse.rebuild(_SILVER, silver.latest_listings(typed), "month_key")
-    warehouse.rebuild(_FILE_MONTHS, _file_months(typed), "load_month")
+    rows, noted = _noted(typed)
+    warehouse.rebuild(_SILVER, silver.latest_listings(rows), "month_key")
+    warehouse.rebuild(_FILE_MONTHS, _pair_rows(warehouse, _pairs(noted)), "load_month")
     return None
 
 
@@ -103,11 +112,11 @@ def _refresh_fact(
 
 def _refresh_listing_month(
     warehouse: Warehouse, months: set[dt.date] | None, until: dt.date
-) -> None:
+) -> set[dt.date] | None:
     """Store the fact with its attributes, so the temporal joins run once for all marts.
 
     Merging the newest month into the history changes what is valid from that month on, so with
-    the rewritten months that one is refreshed.
+    the rewritten months that one is refreshed. Returns the months rewritten, or None for all.
     """
     fact = warehouse.read(_FACT)
     listings = gold.dim_listing(warehouse.read(_LISTING_HISTORY))
@@ -119,23 +128,45 @@ def _refresh_listing_month(
         )
         replaced = warehouse.replace(_LISTING_MONTH, even_files(rows, "month"), "month")
         if replaced.slices == due:
-            return
+            return due
     whole = gold.int_listing_month(fact, listings, hosts, until)
     warehouse.rebuild(_LISTING_MONTH, whole, "month")
+    return None
 
 
-def _store_marts(warehouse: Warehouse, until: dt.date) -> None:
-    """Store the marts, so that other sessions and the checks read them without aggregating anew."""
+def _refresh_listing_mart(
+    warehouse: Warehouse, table: str, keys: Sequence[str], due: set[dt.date] | None
+) -> None:
+    """Store a mart of listings, or its slices that depend on the due months."""
     month = warehouse.read(_LISTING_MONTH)
-    hosts = gold.dim_host(warehouse.read(_HOST_HISTORY))
-    found = {
-        "gold.dm_listing_neighbourhood": marts.dm_listing_neighbourhood(month),
-        "gold.dm_property_type": marts.dm_property_type(month),
-        "gold.dm_host_neighbourhood": marts.dm_host_neighbourhood(
-            warehouse.read(_FACT), hosts, warehouse.read("gold.dim_place"), until
-        ),
-    }
-    _side_by_side([lambda n=name, f=frame: warehouse.rebuild(n, f) for name, frame in found.items()])
+    if due is not None and warehouse.exists(table):
+        rows, wanted = marts.refreshed_slices(month, warehouse.read(table), keys, due)
+        if warehouse.replace(table, even_files(rows, "month"), "month").slices == wanted:
+            return
+    warehouse.rebuild(table, marts.listing_mart(month, keys), "month")
+
+
+def _refresh_host_mart(warehouse: Warehouse, due: set[dt.date] | None, until: dt.date) -> None:
+    """Store the mart of hosts, or its due months: a month of it depends on no other."""
+    table, fact = MARTS[2], warehouse.read(_FACT)
+    hosts, places = gold.dim_host(warehouse.read(_HOST_HISTORY)), warehouse.read("gold.dim_place")
+    if due is not None and warehouse.exists(table):
+        rows = fact.where(F.col("snap_month").isin(list(due)))
+        mart = marts.dm_host_neighbourhood(rows, hosts, places, max(due), min(due))
+        if warehouse.replace(table, even_files(mart, "month"), "month").slices == due:
+            return
+    warehouse.rebuild(table, marts.dm_host_neighbourhood(fact, hosts, places, until), "month")
+
+
+def _store_marts(warehouse: Warehouse, due: set[dt.date] | None, until: dt.date) -> None:
+    """Store the marts by month, so that other sessions and the checks read them without aggregating anew."""
+    _side_by_side(
+        [
+            lambda: _refresh_listing_mart(warehouse, MARTS[0], marts.NEIGHBOURHOOD_KEYS, due),
+            lambda: _refresh_listing_mart(warehouse, MARTS[1], marts.PROPERTY_KEYS, due),
+            lambda: _refresh_host_mart(warehouse, due, until),
+        ]
+    )
 
 
 def _side_by_side(steps: list[Callable[[], object]]) -> None:
@@ -208,8 +239,8 @@ def build(
             ]
         )
     months = _refresh_fact(warehouse, months, until)
-    _refresh_listing_month(warehouse, months if history == "newest" else None, until)
-    _store_marts(warehouse, until)
+    due = _refresh_listing_month(warehouse, months if history == "newest" else None, until)
+    _store_marts(warehouse, due, until)
 
 
 def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
