@@ -7,7 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.plans import gold, pipeline
+from stratamart.plans import gold, marts, pipeline
 from stratamart.plans.checks import ChecksFailed
 from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
 from stratamart.sources.bronze import load_listings_label, load_listings_period, load_reference
@@ -68,10 +68,9 @@ def content(frame):
 
 
 def state(warehouse):
-    """Stored tables and dimensions; the marts are plans over exactly these."""
+    """Stored tables, dimensions and marts."""
     found = pipeline.tables(warehouse)
-    plans = ("bronze.", "gold.dm_")
-    return {name: content(frame) for name, frame in found.items() if not name.startswith(plans)}
+    return {name: content(frame) for name, frame in found.items() if not name.startswith("bronze.")}
 
 
 @pytest.fixture(scope="module")
@@ -121,6 +120,32 @@ def test_repeating_a_build_changes_nothing(built):
     assert state(warehouse) == after
 
 
+def slices(warehouse, table):
+    """The version that holds each slice."""
+    return {name.split("=")[-1]: version for name, version in warehouse._pointer(table).slices.items()}
+
+
+def test_only_due_slices_of_marts_are_read_and_written(spark, built, tmp_path):
+    shutil.copytree(built[0].root, tmp_path / "warehouse")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    before = {table: slices(warehouse, table) for table in pipeline.MARTS}
+    load_listings_label(warehouse, f"{built[1]}/listings", LABELS[-1])
+    pipeline.build(warehouse, changed=[PERIODS[-1]])
+    for table in pipeline.MARTS:
+        after = slices(warehouse, table)
+        assert [m for m, version in after.items() if version != before[table][m]] == [str(PERIODS[-1])]
+    # a month in the middle: the month in which a group is seen next gets new changes, as it compares with it
+    stored, keys = warehouse.read(pipeline.MARTS[1]), marts.PROPERTY_KEYS
+    rows, wanted = marts.refreshed_slices(warehouse.read("gold.int_listing_month"), stored, keys, {PERIODS[1]})
+    assert PERIODS[2] in wanted and PERIODS[0] not in wanted
+    assert content(rows) == content(stored.where(F.col("month").isin(list(wanted))))
+    rows, wanted = marts.refreshed_slices(warehouse.read("gold.int_listing_month"), stored, keys, {PERIODS[3]})
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "listing_id" not in line and "host_id" in line]
+    assert wanted == {PERIODS[3]} and scans
+    assert all("PartitionFilters: [isnotnull(month" in line and str(PERIODS[3]) in line for line in scans)
+
+
 def test_early_rows_are_not_published_before_their_month(spark, tmp_path):
     deliveries = write_deliveries(tmp_path / "in")
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
