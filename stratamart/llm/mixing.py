@@ -9,7 +9,8 @@ words over its source's mean (long documents are likelier, with a bound), and th
 ranking that fits into the rest, in words. Two more rounds fill the gap it leaves from the documents behind that are
 no longer than the gap. A head is found by summing words over ranking bins, then by a running sum inside the one bin
 that the gap ends in, so that no task sorts a whole source. U comes from an md5 of id and
-text: reruns agree. Rows equal in id and text tie and are taken together.
+text, and of a number that tells rows of the same id, text and source apart, so that each repeated row has a rank of
+its own: reruns agree on how many of them are taken, not on which.
 
 * null text, or one without words: size 0, taken 0; it still gets the whole copies. Null source: a source of its own.
 * null id: U from the text alone. Empty table: an empty result. Extra columns do not matter.
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratamart.llm.copies import numbered_copies, repeated
 from stratamart.llm.storage import documents, own_columns, small_side, stored
 
 WEIGHTS = (5, 2, 1)
@@ -30,10 +32,15 @@ SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def draw(key: Column, text: Column) -> Column:
-    """Uniform in (0, 1), fixed by id and text."""
-    tag = F.concat_ws("/", F.lit(SEED), key.cast("string"), text)
-    return (F.conv(F.substring(F.md5(tag), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
+def mark(key: Column, text: Column) -> Column:
+    """What a row's draw is made of, fixed by id and text."""
+    return F.md5(F.concat_ws("/", F.lit(SEED), key.cast("string"), text))
+
+
+def draw(mark: Column, copy: Column) -> Column:
+    """Uniform in (0, 1), fixed by the mark and the row's number among those alike."""
+    own = F.when(copy == 0, mark).otherwise(F.md5(F.concat_ws("/", mark, copy.cast("string"))))
+    return (F.conv(F.substring(own, 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
 
 
 def measures(key: Column, text: Column, source: Column) -> dict[str, Column]:
@@ -41,16 +48,25 @@ def measures(key: Column, text: Column, source: Column) -> dict[str, Column]:
         "doc_id": key,
         "source": source,
         "size": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
-        "u": draw(key, text),
+        "mark": mark(key, text),
     }
 
 
+ALIKE = ["mark", "source"]
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, u."""
+    """doc_id, source, size, mark."""
     columns = measures(F.col("doc_id"), F.col("text"), F.col("source"))
     return docs.select(*[x.alias(n) for n, x in columns.items()])
 
 
+def drawn(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of ``sized`` with u. ``groups``: the repeated ones among them."""
+    numbered = numbered_copies(rows, ALIKE, "nth_copy", groups)
+    return numbered.withColumn("u", draw(F.col("mark"), F.col("nth_copy"))).drop("mark", "nth_copy")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Per source: source_size, mean, target, whole (certain copies), rest (words to sample)."""
     every = Window.partitionBy()
@@ -150,25 +166,31 @@ def with_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     return with_cuts(rows, cuts).withColumn("copies", F.col("whole") + sampled(ROUNDS).cast("long"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, source, copies."""
+def prepared(docs: DataFrame, weights: tuple[int, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Targets per source, groups of rows alike, and all rows ranked."""
     sizes = stored(sized(docs), "sizes")
     per_source = stored(targets(sizes, weights), "targets")
-    rows = ranked(sizes, per_source)
+    groups = repeated(sizes, ALIKE)
+    numbered = drawn(sizes, groups)
+    return per_source, groups, ranked(numbered if groups.isEmpty() else stored(numbered, "drawn"), per_source)
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, source, copies."""
+    per_source, _, rows = prepared(docs, weights)
     out = with_copies(rows, all_cuts(rows, per_source)).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The mix itself: each document's row, whole, as many times as it is taken; columns as they came."""
-    sizes = stored(sized(docs), "sizes")
-    per_source = stored(targets(sizes, weights), "targets")
-    cuts = all_cuts(ranked(sizes, per_source), per_source)
+    per_source, groups, rows = prepared(docs, weights)
+    cuts = all_cuts(rows, per_source)
     packed = docs.select(F.struct(*own_columns(docs)).alias("_row"))
     named = packed.select(
         "_row", *[x.alias(n) for n, x in measures(F.col("_row.doc_id"), F.col("_row.text"), F.col("_row.source")).items()]
     )
-    taken = with_copies(ranked(named, per_source), cuts).where("copies > 0")
+    taken = with_copies(ranked(drawn(named, groups), per_source), cuts).where("copies > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
@@ -191,8 +213,11 @@ OP9_SQL = (
 WITH d AS (
   SELECT doc_id, source,
     CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
-    (('0x' || substr(md5(concat_ws('/', 'mix', doc_id::VARCHAR, text)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
-  FROM documents),
+    (('0x' || substr(own, 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  -- rows alike are told apart by their number
+  FROM (SELECT doc_id, source, text, md5(concat_ws('/', 'mix', doc_id::VARCHAR, text)) AS mark,
+          row_number() OVER (PARTITION BY mark, source) - 1 AS nth,
+          CASE WHEN nth = 0 THEN mark ELSE md5(mark || '/' || nth::VARCHAR) END AS own FROM documents)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n,
         [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
       FROM d GROUP BY source),

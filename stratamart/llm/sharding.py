@@ -1,13 +1,15 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map. DataFrame functions only.
 
-Each record hashes into one of ``n_slots`` slots that never change. Bytes and rows are summed per slot (``n_slots``
-rows at most). The map from slots to shards is edited, slot by slot, until shards are near equal in bytes; every
-version is stored. A record's place in its shard is the rows of the shard's earlier slots plus its row number
-within its slot, so that no task holds a shard.
+Each record hashes into one of ``n_slots`` slots that never change; of the n rows alike in id and text, number k lies k
+slots on, so that a row repeated any number of times fills all slots evenly, whatever their order. Bytes and rows are
+summed per slot (``n_slots`` rows at most). The map from slots to shards is edited, by moving and swapping slots, until
+shards are near equal in bytes. Every version is stored; a map that is there already is loaded, edited and stored as
+the next version. A record's place in its shard is the rows of the shard's earlier slots plus its row number within
+its slot, so that no task holds a shard.
 
 * null text: size 1, crc 0. Null id: the record hashes by its text alone.
-* repeated rows: each is a record of its own, all in one slot. Empty table: an empty result.
-* ties (rows equal in id and text) take their places in any order.
+* repeated rows: each is a record of its own. Empty table: an empty result.
+* ties (rows equal in id and text) take their numbers and places in any order.
 * extra columns are ignored; only the id and text columns are read.
 """
 
@@ -15,23 +17,28 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratamart.llm.copies import numbered_copies
 from stratamart.llm.storage import documents, fresh_path, stored
 
 N_SLOTS = 4096
 
 
 def records(docs: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot."""
+    """doc_id, size, text_crc32, virtual_slot; stored."""
     key, text = F.col(id_col), F.col(text_col)
-    return docs.select(
+    rows = docs.select(
         key.alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
-        F.pmod(F.xxhash64(key, text), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64(key, text).alias("hash"),
     )
+    rows = numbered_copies(stored(rows, "records"), ["hash"])
+    slot = F.pmod(F.pmod("hash", F.lit(n_slots)) + F.col("copy"), F.lit(n_slots)).cast("int")
+    return stored(rows.select("doc_id", "size", "text_crc32", slot.alias("virtual_slot")), "slots")
 
 
 def slot_weights(recs: DataFrame, n_slots: int = N_SLOTS) -> tuple[list[int], list[int]]:
@@ -49,8 +56,9 @@ def first_map(n_slots: int, n_shards: int) -> list[int]:
 def rebalanced(slot_map: list[int], sizes: list[int], n_shards: int) -> list[int]:
     """The map after moves from the heaviest to the lightest shard.
 
-    Each move takes the slot whose size is nearest to half the gap, and only if it makes the gap smaller, so the
-    sum of squared loads falls and the moves end. ``n_shards`` may exceed the shards in use: new ones are filled.
+    A move takes one slot over, or swaps a larger one for a smaller, whichever comes nearest to half the gap, and only
+    if the gap shrinks, so the sum of squared loads falls and the moves end. ``n_shards`` may exceed the shards in
+    use: new ones are filled.
     """
     out, loads = list(slot_map), [0] * n_shards
     own: list[list[tuple[int, int]]] = [[] for _ in range(n_shards)]
@@ -60,20 +68,30 @@ def rebalanced(slot_map: list[int], sizes: list[int], n_shards: int) -> list[int
             own[shard].append((sizes[slot], slot))
     for slots in own:
         slots.sort()
+
+    def hand_over(entry: tuple[int, int], giver: int, taker: int) -> None:
+        own[giver].remove(entry)
+        insort(own[taker], entry)
+        loads[giver] -= entry[0]
+        loads[taker] += entry[0]
+        out[entry[1]] = taker
+
     while True:
         heavy = max(range(n_shards), key=lambda s: (loads[s], -s))
         light = min(range(n_shards), key=lambda s: (loads[s], s))
         gap = loads[heavy] - loads[light]
-        at = bisect_left(own[heavy], (gap / 2, -1))
-        near = [own[heavy][i] for i in (at - 1, at) if 0 <= i < len(own[heavy]) and own[heavy][i][0] < gap]
-        if not near:
+        best = None
+        for given in own[heavy]:
+            at = bisect_left(own[light], (given[0] - gap / 2, -1))
+            for back in (None, *own[light][max(at - 1, 0) : at + 1]):
+                moved = given[0] - (back[0] if back else 0)
+                if 0 < moved < gap and (best is None or abs(moved - gap / 2) < best[0]):
+                    best = (abs(moved - gap / 2), given, back)
+        if best is None:
             return out
-        size, slot = min(near, key=lambda x: (abs(x[0] - gap / 2), x[1]))
-        own[heavy].remove((size, slot))
-        insort(own[light], (size, slot))
-        loads[heavy] -= size
-        loads[light] += size
-        out[slot] = light
+        hand_over(best[1], heavy, light)
+        if best[2]:
+            hand_over(best[2], light, heavy)
 
 
 def _lookup(values: list[int], slot: Column, kind: str) -> Column:
@@ -108,20 +126,34 @@ def placed(recs: DataFrame, slot_map: list[int], counts: list[int]) -> DataFrame
     )
 
 
-def shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
-    """Every record with its shard and place under the newest map version.
+def edited_map(spark: SparkSession, path: str, sizes: list[int], n_shards: int) -> tuple[int, list[int]]:
+    """The newest map at ``path`` rebalanced for these slots, stored as the next version if that moves any slot.
 
-    A new map (version 0, then the rebalanced version 1) is made at ``map_path`` unless one is there to be edited:
-    ``rebalanced`` and ``store_map`` add versions to it.
+    Without a map there, round robin is version 0. A stored map has to have as many slots.
     """
-    spark = docs.sparkSession
-    recs = stored(records(docs, n_slots), "records")
+    try:
+        version, slot_map = load_map(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        version, slot_map = 0, first_map(len(sizes), n_shards)
+        store_map(spark, path, version, slot_map)
+    if len(slot_map) != len(sizes):
+        raise ValueError(f"the map at {path} has {len(slot_map)} slots, not {len(sizes)}")
+    if max(slot_map) >= n_shards:
+        raise ValueError(f"the map at {path} uses shards beyond {n_shards - 1}")
+    edited = rebalanced(slot_map, sizes, n_shards)
+    if edited != slot_map:
+        version += 1
+        store_map(spark, path, version, edited)
+    return version, edited
+
+
+def shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
+    """Every record with its shard and place under the newest map version, after it has been edited for these records."""
+    recs = records(docs, n_slots)
     sizes, counts = slot_weights(recs, n_slots)
-    path = map_path or fresh_path(spark, "slot-map")
-    start = first_map(n_slots, n_shards)
-    store_map(spark, path, 0, start)
-    store_map(spark, path, 1, rebalanced(start, sizes, n_shards))
-    version, slot_map = load_map(spark, path)
+    version, slot_map = edited_map(docs.sparkSession, map_path or fresh_path(docs.sparkSession, "slot-map"), sizes, n_shards)
     return placed(recs, slot_map, counts).withColumn("map_version", F.lit(version))
 
 

@@ -42,6 +42,38 @@ def test_bytes_are_near_equal_though_copies_abound(make):
     assert max(loads.values()) - min(loads.values()) < 0.02 * sum(loads.values()) / 16
 
 
+def test_a_row_repeated_many_times_fills_all_shards(make, monkeypatch):
+    from stratamart.llm import copies
+
+    monkeypatch.setattr(copies, "RUN_BITS", 5)
+    rows = [(5, prose(3, 20), "en", "a")] * 1500 + [(None, prose(4, 9), None, "a")] * 400 + [(10 + i, prose(i, 1 + i % 60), "en", "a") for i in range(2000)]
+    out = sharding.shard(make(rows)).collect()
+    check_shards(rows, out, 16)
+    loads = Counter()
+    for r in out:
+        loads[r.shard] += r.size
+    assert max(loads.values()) - min(loads.values()) < max(r.size for r in out)
+
+
+def test_a_stored_map_is_loaded_edited_and_stored_anew(spark, make, tmp_path):
+    path = str(tmp_path / "map")
+    rows = [(i, prose(i, 1 + i % 40), "en", "a") for i in range(600)]
+    run = lambda some, n: sharding.shard(make(some), n_shards=n, n_slots=256, map_path=path).collect()
+    first = run(rows, 4)
+    assert {r.map_version for r in first} == {1}
+    assert {r.map_version for r in run(rows, 4)} == {1}  # nothing to move, no new version
+    more = rows + [(1000 + i, prose(i, 30), "en", "a") for i in range(100)]
+    second, third = run(more, 4), run(more, 5)
+    assert {r.map_version for r in second} == {2} and {r.map_version for r in third} == {3}
+    check_shards(more, third, 5)
+    assert sharding.load_map(spark, path)[0] == 3 and sharding.load_map(spark, path, 0)[1] == sharding.first_map(256, 4)
+    assert {(r.doc_id, r.virtual_slot) for r in first} <= {(r.doc_id, r.virtual_slot) for r in third}  # slots never change
+    stay = {(r.doc_id, r.shard) for r in second} & {(r.doc_id, r.shard) for r in third}
+    assert len(stay) > 0.6 * len(more)
+    with pytest.raises(ValueError):
+        sharding.shard(make(rows), n_shards=4, n_slots=128, map_path=path)
+
+
 def test_map_versions_and_growth(spark, tmp_path):
     sizes = [(k * 7919) % 1000 + 1 for k in range(500)]
     first = sharding.first_map(500, 8)
@@ -80,7 +112,11 @@ def targets_by_hand(sizes):
 
 
 def mixed_by_hand(rows):
-    docs = [(i, source, len(WORD.findall(t or "")), t) for i, t, _, source in rows]
+    seen = Counter()
+    docs = []
+    for i, t, _, source in rows:  # rows alike are told apart by their number
+        docs.append((i, source, len(WORD.findall(t or "")), (t, seen[i, t, source])))
+        seen[i, t, source] += 1
     sizes, n = Counter(), Counter()
     for _, source, size, _ in docs:
         sizes[source] += size
@@ -92,8 +128,10 @@ def mixed_by_hand(rows):
         ranked, order = defaultdict(int), {}
         for i, s, size, text in docs:
             if s == source:
-                tag = "/".join(x for x in (mixing.SEED, None if i is None else str(i), text) if x is not None)
-                u = (int(hashlib.md5(tag.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                tag = "/".join(x for x in (mixing.SEED, None if i is None else str(i), text[0]) if x is not None)
+                own = hashlib.md5(tag.encode()).hexdigest()
+                own = hashlib.md5(f"{own}/{text[1]}".encode()).hexdigest() if text[1] else own
+                u = (int(own[:13], 16) + 0.5) / 2**52
                 order[(i, text)] = u / (1 - u) / (size / (size + sizes[s] / n[s])) if size else None
         taken = set()
         for _ in range(mixing.ROUNDS):
@@ -123,6 +161,25 @@ def test_mix_equals_brute_force(make, odd_rows):
         assert all(r.taken <= 3 * r.size for r in own)
 
 
+def test_repeated_rows_do_not_stand_in_the_way(make, monkeypatch):
+    """A source in which a third of the rows repeat ends within one document of its target."""
+    from stratamart.llm import copies
+
+    monkeypatch.setattr(copies, "RUN_BITS", 4)
+    rows = [(1, prose(1, 11), "en", "b")] * 300 + [(1000 + i, prose(i, 11), "en", "b") for i in range(300)]
+    rows += [(2, prose(2, 9), "en", "a")] * 200 + [(3000 + i, prose(i, 3 + i % 9), "en", "a") for i in range(300)]
+    rows += [(4, "x y", "en", "b")] * 5 + [(4, "x y", "en", "c")] * 2
+    got = mixing.mix(make(rows)).collect()
+    assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken, r.source) for r in got) == mixed_by_hand(rows)
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert 0 <= own[0].target - sum(r.taken for r in own) < max(r.size for r in own)
+    taken = Counter()
+    for r in got:
+        taken[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in mixing.mixed_documents(make(rows)).collect()) == +taken
+
+
 def test_mixed_documents_repeat_whole_rows(make, odd_rows, nothing):
     rows = odd_rows + [(100 + i, prose(i, 3 + i % 9), "en", "ab"[i % 10 > 0]) for i in range(100)]
     docs = make(rows, clashing=True)
