@@ -5,13 +5,15 @@ labelled quality 1 of the learning folds. One pass over the corpus gives every n
 in trusted text; counts, continuation counts, discounts and back-off masses are then joined by n-gram, order by order,
 in tables sharded by n-gram, up to one log probability for each n-gram of the corpus. Nothing is cut off.
 
-A second pass sums them per document. It takes the probabilities in shards of at most ``SHARD`` n-grams, as many as
-there are, so that a worker's memory does not depend on their number. A document is kept if its perplexity (per byte)
-does not exceed its language's threshold: the quantile ``QUANTILE`` of the trusted documents held out from training, on
-a grid of 1e-4 of the logarithm. A language with ``n`` of them, fewer than ``LEAST_HELD``, has too few for a quantile of
-its own, so that single outliers would set it: it takes ``n / LEAST_HELD`` of its own and the rest of the threshold of
-all languages, if these have that many. A language without any uses that of all, and without any at all everything is
-kept.
+A second pass takes each document as its n-grams with their counts. The log probabilities of the ``HOT`` most frequent
+n-grams, a table of fixed size that every task holds, are summed where they are found: as keys of a join they would be
+the skewed ones. All others are joined with their log probabilities by n-gram and summed per document; so one pass does,
+whatever the number of n-grams, and none of them passes through the driver. Sums are of whole numbers, in units of
+``2 ** -UNIT_BITS`` and, for what that leaves, of ``4 ** -UNIT_BITS``, and do not depend on their order. A document is kept if its perplexity (per byte) does not exceed
+its language's threshold: the quantile ``QUANTILE`` of the trusted documents held out from training, on a grid of 1e-4
+of the logarithm. As single outliers would set the quantile of a few texts, a language with ``n`` of them takes
+``n / (n + DRAWN)`` of its own threshold and the rest of that of all languages; one without any uses that of all, and
+without any at all everything is kept.
 
 * null and empty text: no perplexity (null), not kept. Null language: a language of its own.
 * repeated rows score alike; of an id labelled more than once any trusted label counts. Null ids have no label.
@@ -29,16 +31,16 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.ship import ship
 from stratamart.llm.storage import documents, small_side, stored
-from stratamart.llm.text import Block, blocks
+from stratamart.llm.text import Block, blocks, sums_per_text, text_of
 
 ORDER = 5
 SYMBOLS = 256
 FOLDS = 5
 QUANTILE = 0.97  # misses of trusted and passes of untrusted held-out documents are near equal there, see the README
-LEAST_HELD = 50
+DRAWN = 10
 GRID = 1e-4
-SHARD = 2_000_000
-SHARDS_A_PASS = 2
+HOT = 1 << 18
+UNIT_BITS = 30
 
 
 def grams(block: Block, order: int) -> np.ndarray:
@@ -56,12 +58,12 @@ def grams(block: Block, order: int) -> np.ndarray:
 
 
 def _count(order: int):
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in parts])
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        keys, *counts = (np.concatenate(column) for column in zip(*parts))
         order_of = np.argsort(keys, kind="stable")
-        keys, counts = keys[order_of], np.concatenate([c for _, c in parts])[order_of]
+        keys = keys[order_of]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[first], np.add.reduceat(counts, first)
+        return keys[first], *(np.add.reduceat(c[order_of], first) for c in counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -75,16 +77,17 @@ def _count(order: int):
                 for some, weight in ((keys[learns], 1), (keys[~learns], 0)):
                     some.sort()
                     cuts = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]])) if len(some) else np.zeros(0, dtype=np.int64)
-                    parts.append((some[cuts], weight * np.diff(np.concatenate([cuts, [len(some)]]))))
+                    seen = np.diff(np.concatenate([cuts, [len(some)]]))
+                    parts.append((some[cuts], weight * seen, seen))
                     held += len(cuts)
                 if held > 4_000_000:
                     parts = [merged(parts)]
                     held = len(parts[0][0])
                     if held > 2_000_000:  # more kinds than a worker should hold: the shuffle adds them up
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names=["gram", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names=["gram", "n", "seen"])
                         parts, held = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(parts)], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(parts)], names=["gram", "n", "seen"])
 
     return run
 
@@ -104,9 +107,10 @@ def discounts(counted: DataFrame) -> list[float]:
 
 
 def with_probabilities(counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """gram, p: the probability of each n-gram's last symbol after the others. ``counted``: all n-grams of the corpus, n their trusted count."""
+    """gram, p, seen: the probability of each n-gram's last symbol after the others. ``counted``: all n-grams of the
+    corpus, n their trusted count, seen that in all texts."""
     kinds = [counted.where("n > 0").select("gram", "n")]
-    wanted = [counted.select("gram")]
+    wanted = [counted.select("gram", "seen")]
     for size in range(order - 1, 0, -1):  # continuation counts: by how many symbols an n-gram is preceded
         shorter = kinds[-1].groupBy(suffix(F.col("gram"), size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         kinds.append(stored(shorter, f"kinds-{size}"))
@@ -127,50 +131,60 @@ def with_probabilities(counted: DataFrame, order: int = ORDER) -> DataFrame:
             rows = rows.withColumn("rest", suffix(F.col("gram"), size - 1)).join(lower, "rest")
         own = F.coalesce((F.col("n") - discount) / F.col("total"), F.lit(0.0))
         p = F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + F.col("taken") / F.col("total") * F.col("lower"))
-        below = stored(rows.select("gram", p.alias("p")), f"probabilities-{size}")
+        seen = ["seen"] if size == order else []
+        below = stored(rows.select("gram", p.alias("p"), *seen), f"probabilities-{size}")
     return below
 
 
-def _summed(shared, order: int):
-    @F.arrow_udf("double")
-    def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        keys, values = shared.value
+def _met(shared, order: int):
+    """Column function: text to the sum over its n-grams that all tasks hold, and the others with their counts."""
+
+    @F.arrow_udf("struct<whole: bigint, part: bigint, rest: array<struct<gram: bigint, n: int>>>")
+    def met(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keys, *values = shared.value
         for texts in batches:
-            parts = [np.zeros(0)]
-            for block in blocks(texts):
+            for block in blocks(texts):  # handed over block by block: memory follows the block
                 found = grams(block, order)
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                total = np.concatenate([[0.0], np.cumsum(np.where(keys[at] == found, values[at], 0.0))])
-                parts.append(total[block.offsets[1:]] - total[block.offsets[:-1]])
-            yield pa.array(np.concatenate(parts))
-
-    return summed
-
-
-def log_sums(docs: DataFrame, probabilities: DataFrame, order: int = ORDER, shard: int = SHARD) -> DataFrame:
+                at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+                known = keys[at] == found if len(keys) else np.zeros(len(found), dtype=bool)
+                sums = []
+                for units in values:
+                    own = np.zeros(len(found), dtype=np.int64)
+                    own[known] = units[at[known]]
+                    sums.append(pa.array(sums_per_text(own, block.offsets)))
+                text, rest = text_of(block.offsets)[~known], found[~known]
+                by = np.lexsort((rest, text))
+                text, rest = text[by], rest[by]
+                first = np.ones(len(rest), dtype=bool)
+                first[1:] = (rest[1:] != rest[:-1]) | (text[1:] != text[:-1])
+                first = np.flatnonzero(first)
+                n = np.diff(np.append(first, len(rest))).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([pa.array(rest[first]), pa.array(n)], names=["gram", "n"])
+                edges = np.searchsorted(text[first], np.arange(len(block) + 1)).astype(np.int32)
+                yield pa.StructArray.from_arrays(
+                    [*sums, pa.ListArray.from_arrays(pa.array(edges), pairs)], names=["whole", "part", "rest"]
+                )
+
+    return met
+
+
+def log_sums(docs: DataFrame, probabilities: DataFrame, order: int = ORDER, hot: int = HOT) -> DataFrame:
     """doc_id, lang, n_bytes, log_p: the sum of the log probabilities of all symbols of each text."""
     context = ship(docs.sparkSession)
-    n_shards = max(1, -(-probabilities.count() // shard))
-    tag = F.xxhash64(F.lit(1), "text")
+    unit = float(1 << UNIT_BITS)
+    scaled = F.log("p") * unit
+    known = probabilities.select("gram", "seen", F.round(scaled).cast("long").alias("whole"), F.round((scaled - F.round(scaled)) * unit).cast("long").alias("part"))
+    common = known.orderBy(F.desc("seen"), "gram").limit(hot).select("gram", "whole", "part").toArrow()
+    by = np.argsort(common.column("gram").to_numpy())
+    met = _met(context.broadcast(tuple(column.to_numpy()[by] for column in common.columns)), order)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes")
-    out = docs.select("doc_id", "lang", size, tag.alias("_tag"), F.lit(0.0).alias("log_p"))
-    for start in range(0, n_shards, SHARDS_A_PASS):
-        parts = []
-        for s in range(start, min(start + SHARDS_A_PASS, n_shards)):
-            own = probabilities.where(F.pmod(F.xxhash64("gram"), F.lit(n_shards)) == s).select("gram", F.log("p").alias("v")).toArrow()
-            keys, values = own.column("gram").to_numpy(), own.column("v").to_numpy()
-            order_of = np.argsort(keys)
-            if len(keys):
-                parts.append(_summed(context.broadcast((keys[order_of], values[order_of])), order)("text"))
-        total = sum(parts[1:], parts[0]) if parts else F.lit(0.0)
-        if n_shards <= SHARDS_A_PASS:
-            return docs.select("doc_id", "lang", size, total.alias("log_p"))
-        # rows alike in id and text have the same part; later passes meet the earlier by both
-        more = stored(docs.select("doc_id", tag.alias("_tag"), total.alias("more")), "log-sums").groupBy("doc_id", "_tag").agg(F.first("more").alias("more"))
-        more = more.select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_t"), "more")
-        joined = out.join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t")), "left")
-        out = stored(joined.withColumn("log_p", F.col("log_p") + F.coalesce("more", F.lit(0.0))).drop("_id", "_t", "more"), "log-sums")
-    return out.drop("_tag")
+    rows = docs.select("doc_id", "lang", size, F.monotonically_increasing_id().alias("_row"), met("text").alias("m"))
+    rows = stored(rows.select("doc_id", "lang", "n_bytes", "_row", "m.*"), "document-grams")
+    rest = rows.select("_row", F.inline("rest")).join(known.drop("seen"), "gram")
+    rest = rest.groupBy("_row").agg(*[F.sum(F.col("n") * F.col(c)).alias(f"rest_{c}") for c in ("whole", "part")])
+    joined = rows.drop("rest").join(rest, "_row", "left")
+    whole, part = (F.col(c) + F.coalesce(f"rest_{c}", F.lit(0)) for c in ("whole", "part"))
+    return joined.select("doc_id", "lang", "n_bytes", (whole / unit + part / unit / unit).alias("log_p"))
 
 
 def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -190,15 +204,13 @@ def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     return listed.select("lang", "every", (upto["limit"] * GRID).alias("limit"), "total")
 
 
-def own_limit(every: float, total: int, least: int = LEAST_HELD) -> Column:
-    """A language's limit, drawn towards that of all languages if it has fewer than ``least`` of their ``total`` texts."""
-    if total < least:
-        return F.col("limit")
-    share = F.least(F.col("total") / least, F.lit(1.0))
+def own_limit(every: float, drawn: int = DRAWN) -> Column:
+    """A language's limit, drawn towards that of all languages, the more the fewer texts it rests on."""
+    share = F.col("total") / (F.col("total") + drawn)
     return share * F.col("limit") + (1 - share) * every
 
 
-def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, shard: int = SHARD) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE, hot: int = HOT) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, limit, kept."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang")
@@ -206,15 +218,15 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: floa
     held_out = F.crc32(F.col("_id").cast("string")) % FOLDS == 0
     learn, held = stored(trusted.where(~held_out), "learn"), stored(trusted.where(held_out), "held")
     flagged = docs.join(small_side(learn), F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("trusted"))
-    counted = flagged.mapInArrow(_count(order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = flagged.mapInArrow(_count(order), "gram long, n long, seen long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     probabilities = with_probabilities(stored(counted, "grams"), order)
-    sums = log_sums(docs, probabilities, order, shard)
+    sums = log_sums(docs, probabilities, order, hot)
     scored = stored(sums.withColumn("log_ppl", F.when(F.col("n_bytes") > 0, -F.col("log_p") / F.col("n_bytes"))), "perplexity")
 
     limits = stored(thresholds(scored.where("log_ppl IS NOT NULL").join(small_side(held), F.col("doc_id") == F.col("_id"), "left_semi"), quantile), "limits")
-    every = limits.where("every").select("limit", "total").collect()
-    most, total = every[0] if every else (float("inf"), 0)
-    by_language = limits.where("NOT every").select(F.col("lang").alias("_lang"), own_limit(most, total).alias("own"))
+    every = limits.where("every").select("limit").collect()
+    most = every[0].limit if every else float("inf")
+    by_language = limits.where("NOT every").select(F.col("lang").alias("_lang"), own_limit(most).alias("own"))
     limit = F.coalesce(F.col("own"), F.lit(most))
     joined = scored.join(small_side(by_language), F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn("limit", limit)
     return joined.select(
