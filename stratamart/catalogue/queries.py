@@ -23,8 +23,14 @@ from stratamart.catalogue.stand_in import (
     suburbs,
     table,
 )
-from stratamart.operators import metrics, quality
-from stratamart.operators.history import as_dimension, merge_versions, versions_from_history
+from stratamart.operators import metrics, quality, sketches
+from stratamart.operators.history import (
+    as_dimension,
+    changes_from_history,
+    merge_changes,
+    merge_versions,
+    versions_from_history,
+)
 from stratamart.operators.storage import fresh_path, written_once
 from stratamart.operators.temporal import as_of_join, newest, published_until, trailing_months
 from stratamart.plans import analysis, gold, marts, pipeline
@@ -553,6 +559,29 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_versions(current, months.where(F.col("month_key") == last), "host_id", "month_key")
 
 
+def _part_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per part and year of shipping, with attributes that often stay as they are; stored."""
+    lines = table(spark, sf_dir, "lineitem")
+    per_year = lines.groupBy(F.col("l_partkey").alias("part_key"), F.trunc(ship_date(), "YEAR").alias("year")).agg(
+        (rows() > 4).alias("busy"), F.max(F.when(F.col("l_returnflag") == "R", F.col("l_returnflag"))).alias("returned")
+    )
+    return written_once(per_year, "part-years")
+
+
+def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes_from_history(_part_years(spark, sf_dir), "part_key", "year", ["busy", "returned"])
+
+
+def scd2_changes_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log kept up year by year, the last year merged twice."""
+    yearly = _part_years(spark, sf_dir)
+    years = [r.year for r in yearly.select("year").distinct().orderBy("year").collect()]
+    log = changes_from_history(yearly.where(F.col("year") == F.lit(years[0])), "part_key", "year", ["busy", "returned"])
+    for year in [*years[1:], years[-1]]:
+        log = written_once(merge_changes(log, yearly.where(F.col("year") == F.lit(year)), "part_key", "year"), "change-log")
+    return log
+
+
 def backfill_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order history stored year by year, one merge per year, the last year merged twice.
 
@@ -739,6 +768,34 @@ def mom_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(metrics.with_changes(per_month, ["host_id"], "month", marts.CHANGES))
 
 
+def mom_change_gap_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments per part and month with the change against the calendar month before; parts skip months."""
+    per_month = listing_rows(spark, sf_dir).groupBy("listing_id", F.col("month_key").alias("month")).agg(rows().alias("n"))
+    return published(metrics.with_changes(per_month, ["listing_id"], "month", {"n": "pct_change"}, gap_aware=True))
+
+
+def median_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median price over six months from stored monthly sketches: the number of values, and whether the exact rank
+    of the estimate lies within the stated error."""
+    keys = ["listing_neighbourhood"]
+    active = listing_rows(spark, sf_dir).where("has_availability").select(*keys, F.col("month_key").alias("month"), "price")
+    sketches_ = written_once(sketches.month_sketches(active, keys, "month", "price"), "sketches")
+    found = written_once(sketches.trailing_quantile(sketches_, keys, "month", 6, "estimate"), "estimates")
+    # the exact ranks, from the rows again: values below the estimate, and up to it
+    counted = active.groupBy(*keys, "month", F.col("price").cast("double").alias("price")).agg(rows().alias("n"))
+    ahead = F.sequence("month", F.add_months("month", 5), F.expr("interval 1 month"))
+    listed = counted.withColumn("month", F.explode(ahead)).join(F.broadcast(found), [*keys, "month"])
+    ranks = listed.groupBy(*keys, "month", "n_values").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("price") < F.col("estimate"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("price") <= F.col("estimate"), F.col("n")).otherwise(0)).alias("upto"),
+    )
+    error = F.lit(sketches.rank_error()) * F.col("n") + 1
+    middle = F.col("n") / 2
+    within = (F.col("below") <= middle + error) & (F.col("upto") >= middle - error) & (F.col("n") == F.col("n_values"))
+    return ranks.select(*keys, "month", "n", within.alias("within"))
+
+
 def mart_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(marts.dm_listing_neighbourhood(_listing_month(spark, sf_dir)))
 
@@ -802,6 +859,20 @@ def q5_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the ordered reports by their position."""
+    reports = {
+        "configurations": (q3_best_config, analysis.CONFIGURATION_ORDER, F.concat_ws("|", *analysis.CONFIGURATION_ORDER)),
+        "primary areas": (q4_primary_area, analysis.primary_order(), F.col("host_id").cast("string")),
+        "coverage": (q5_coverage, analysis.coverage_order(), F.col("lga_code")),
+    }
+    found = [
+        analysis.in_positions(query(spark, sf_dir), *order).select(F.lit(name).alias("report"), "position", row.alias("row"))
+        for name, (query, order, row) in reports.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # ---- checks --------------------------------------------------------------------------------
 
 
@@ -844,6 +915,12 @@ def scd2_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_no_overlap(versions, "host_id", "dim_host")
 
 
+def scd2_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host versions that end two months late: each pair that overlaps."""
+    versions = gold.host_versions(silver(spark, sf_dir)).withColumn("valid_to", F.add_months("valid_to", 2))
+    return quality.overlapping_pairs(written_once(versions, "late-versions"), "host_id", "dim_host")
+
+
 def coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipping months in which no order was placed."""
     shipped = table(spark, sf_dir, "lineitem").select(fn.month_start(ship_date()).alias("month_key"))
@@ -888,6 +965,8 @@ QUERIES: dict[str, Query] = {
     "scd2_from_history": scd2_from_history,
     "scd2_dim": scd2_dim,
     "scd2_merge": scd2_merge,
+    "scd2_changes": scd2_changes,
+    "scd2_changes_merge": scd2_changes_merge,
     "temporal_inner": temporal_inner,
     "temporal_left": temporal_left,
     "join_preserves_rows": join_preserves_rows,
@@ -896,8 +975,10 @@ QUERIES: dict[str, Query] = {
     "warehouse_monthly": warehouse_monthly,
     "mart_metrics": mart_metrics,
     "filtered_median": filtered_median,
+    "median_sketch": median_sketch,
     "distinct_counts": distinct_counts,
     "mom_change": mom_change,
+    "mom_change_gap_aware": mom_change_gap_aware,
     "mart_neighbourhood": mart_neighbourhood,
     "mart_property": mart_property,
     "mart_host": mart_host,
@@ -907,10 +988,12 @@ QUERIES: dict[str, Query] = {
     "q4_multi_hosts": q4_multi_hosts,
     "q4_primary_area": q4_primary_area,
     "q5_coverage": q5_coverage,
+    "report_positions": report_positions,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "unique_combination": unique_combination,
     "referential_check": referential_check,
     "scd2_overlap": scd2_overlap,
+    "scd2_overlap_pairs": scd2_overlap_pairs,
     "coverage_gap": coverage_gap,
 }

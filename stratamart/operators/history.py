@@ -69,6 +69,38 @@ def merge_versions(
     return current.where("valid_to IS NOT NULL").unionByName(advanced)
 
 
+def changes_from_history(
+    df: DataFrame, key: str, period: str, attributes: Sequence[str]
+) -> DataFrame:
+    """Compact history: one version per run of equal attributes, NULL equal to NULL.
+
+    A run goes on over periods in which the key is not seen, and ends where it is seen with another value.
+    """
+    own = F.struct(*attributes)
+    before = F.lag(own).over(Window.partitionBy(key).orderBy(period))  # NULL for the first one only
+    changed = df.withColumn("_changed", ~own.eqNullSafe(before)).where("_changed").drop("_changed")
+    return versions_from_history(changed, key, period, attributes)
+
+
+def merge_changes(
+    current: DataFrame, incoming: DataFrame, key: str, period: str
+) -> DataFrame:
+    """Compact history after one more period: a run that goes on is left alone, one that ends is closed.
+
+    Periods have to come in order. Only open runs are looked at.
+    """
+    attributes = [c for c in current.columns if c not in (key, "valid_from", "valid_to")]
+    known = current.where("valid_to IS NULL").select(
+        F.col(key).alias("_key"), F.struct(*attributes).alias("_known")
+    )
+    changed = (
+        incoming.join(known, F.col(key) == F.col("_key"), "left")
+        .where(~F.struct(*attributes).eqNullSafe(F.col("_known")))
+        .select(*incoming.columns)
+    )
+    return merge_versions(current, changed, key, period)
+
+
 def as_dimension(versions: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Published form: date bounds and a flag for the open version."""
     return versions.select(

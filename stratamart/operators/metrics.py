@@ -163,19 +163,27 @@ def group_metrics(
 
 
 def with_changes(
-    df: DataFrame, keys: Sequence[str], period: str, changes: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    period: str,
+    changes: Mapping[str, str],
+    gap_aware: bool = False,
 ) -> DataFrame:
     """Percentage change against the group's previous row in time; ``changes`` maps input to output.
 
-    The previous row is the previous period present, even across a gap. ``df`` holds one row per
-    group and period, so window groups are short.
+    The previous row is the previous period present, even across a gap; with ``gap_aware`` it is that
+    of the calendar month before, and after a gap the change is NULL. ``df`` holds one row per group
+    and period, so window groups are short.
     """
-    window = Window.partitionBy(*keys).orderBy(F.col(period).asc_nulls_last())
+    if gap_aware:
+        month = F.year(period) * 12 + F.month(period)
+        before = Window.partitionBy(*keys).orderBy(month).rangeBetween(-1, -1)
+        previous = {source: F.first(source).over(before) for source in changes}
+    else:
+        window = Window.partitionBy(*keys).orderBy(F.col(period).asc_nulls_last())
+        previous = {source: F.lag(source).over(window) for source in changes}
     return df.withColumns(
-        {
-            name: percent_change(F.col(source), F.lag(source).over(window))
-            for source, name in changes.items()
-        }
+        {name: percent_change(F.col(source), previous[source]) for source, name in changes.items()}
     )
 
 

@@ -69,6 +69,30 @@ def check_no_overlap(versions: DataFrame, key: str, dimension: str) -> DataFrame
     )
 
 
+def overlapping_pairs(versions: DataFrame, key: str, dimension: str) -> DataFrame:
+    """Every pair of versions of a key of which one is still valid when the other starts later.
+
+    Versions are listed once per month they touch, and meet the versions that start in that month. A pair so meets
+    in one month only, that of the later start, and a key with very many versions is spread over its months.
+    """
+    last = versions.agg(F.max("valid_from")).scalar()
+    end = F.least(F.coalesce(F.date_sub("valid_to", 1), last), last)
+    listed = versions.where(F.col("valid_from") <= end).select(
+        F.col(key).alias("id"),
+        "valid_from",
+        "valid_to",
+        F.explode(F.sequence(F.trunc("valid_from", "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))).alias("_month"),
+    )
+    starts = versions.select(
+        F.col(key).alias("_id"), F.col("valid_from").alias("next_valid_from"), F.trunc("valid_from", "MM").alias("_start")
+    )
+    later = (F.col("valid_from") < F.col("next_valid_from")) & (
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.col("next_valid_from"))
+    )
+    met = listed.join(starts, (F.col("id") == F.col("_id")) & (F.col("_month") == F.col("_start")) & later)
+    return met.select(F.lit(dimension).alias("dim"), "id", "valid_from", "next_valid_from")
+
+
 def join_balance(facts: DataFrame, joined: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows before and after a join, and keys that lost or gained rows.
 

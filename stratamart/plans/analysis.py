@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.functions import percent_of, ratio
+from stratamart.operators.ordering import numbered
 from stratamart.operators.storage import bounded_broadcast
 from stratamart.operators.temporal import as_of_join, trailing_months
 
@@ -25,6 +26,22 @@ def revenue_per_active(fact: DataFrame) -> DataFrame:
     )
 
 
+CONFIGURATION_ORDER = ("listing_neighbourhood", "rank_in_nhood", "property_type", "room_type", "accommodates")
+
+
+def primary_order() -> list[Column]:
+    return [F.col("host_id").asc_nulls_last()]
+
+
+def coverage_order() -> list[Column]:
+    return [F.col("pct_cover").desc_nulls_first(), F.col("lga_name").asc(), F.col("lga_code").asc()]
+
+
+def in_positions(report: DataFrame, *order: Column | str) -> DataFrame:
+    """A report with each row's position in its order, from 1: rows may then be stored and read in any order."""
+    return numbered(report, *[F.col(c) if isinstance(c, str) else c for c in order], start=1)
+
+
 def _within_rank(df: DataFrame, order: Column, places: int, bucket: str) -> DataFrame:
     """Rows ranked up to ``places``, ties kept. Map tasks cut to that rank before the one
     ordered task, which sees a few rows per task."""
@@ -132,9 +149,7 @@ def best_configurations(listing_month: DataFrame, neighbourhoods: int = 5, place
     return (
         stays.withColumn("rank_in_nhood", F.rank().over(order))
         .where(F.col("rank_in_nhood") <= places)
-        .orderBy(
-            "listing_neighbourhood", "rank_in_nhood", "property_type", "room_type", "accommodates"
-        )
+        .orderBy(*CONFIGURATION_ORDER)
     )
 
 
@@ -181,7 +196,7 @@ def primary_areas(fact: DataFrame, shown: int | None = 20) -> DataFrame:
         .where("_rank = 1")
         .select("host_id", F.col("lga_code").alias("primary_lga"), "listings_in_lga")
     )
-    ordered = primary.orderBy(F.col("host_id").asc_nulls_last())
+    ordered = primary.orderBy(*primary_order())
     return ordered if shown is None else ordered.limit(shown)
 
 
@@ -222,5 +237,5 @@ def mortgage_coverage(fact: DataFrame, medians: DataFrame, areas: DataFrame) ->
         .groupBy("lga_name", "lga_code")
         .agg(F.count(F.lit(1)).alias("single_hosts"), covers.alias("can_cover"))
         .withColumn("pct_cover", percent_of(F.col("can_cover"), F.col("single_hosts")))
-        .orderBy(F.col("pct_cover").desc_nulls_first(), "lga_name", "lga_code")
+        .orderBy(*coverage_order())
     )
