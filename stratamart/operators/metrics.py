@@ -18,6 +18,8 @@ from stratamart.functions.numbers import percent_change, percent_of
 
 # Large values within 0.1 percent of each other share a bucket.
 _BUCKETS_PER_E_FOLD = 1024
+# Equal pieces that a bucket holding a wanted rank is cut into.
+_PIECES = 1024
 
 
 @dataclass(frozen=True)
@@ -44,9 +46,10 @@ def exact_quantile(
 
     Values are counted per (group, value), then per (group, bucket) of neighbouring values; the
     bucket number never falls as the value rises. The bucket counts tell which one or two buckets
-    hold the wanted ranks; only those buckets are looked at value by value. A group is thus
-    spread over as many tasks as it has values, and the ordered passes see bucket counts or the
-    values of a single bucket.
+    hold the wanted ranks; only those are cut again into pieces of equal width, and only the pieces
+    that hold the ranks are looked at value by value. A group is thus spread over as many tasks as
+    it has values, and the ordered passes see bucket counts, piece counts or the values of a single
+    piece, a thousandth of a bucket's width.
     """
     if not keys:
         whole = df.select(F.lit(0).alias("_whole"), value)
@@ -66,22 +69,44 @@ def exact_quantile(
           )
         ),
         buckets AS (
-          SELECT {group}, bucket, n,
+          SELECT {group}, bucket, n, least_x, most_x,
                  sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto,
                  (sum(n) OVER (PARTITION BY {group}) - 1) * {q}D AS position
-          FROM (SELECT {group}, bucket, sum(n) AS n FROM counts GROUP BY {group}, bucket)
+          FROM (
+            SELECT {group}, bucket, sum(n) AS n, min(x) AS least_x, max(x) AS most_x
+            FROM counts GROUP BY {group}, bucket
+          )
         ),
         wanted AS (
           SELECT {group}, bucket, upto - n AS before, floor(position) AS low,
-                 ceil(position) AS high, position - floor(position) AS part
+                 ceil(position) AS high, position - floor(position) AS part, least_x,
+                 nullif(most_x - least_x, 0D) AS width
           FROM buckets WHERE upto > floor(position) AND upto - n <= ceil(position)
         ),
+        -- the wanted buckets cut again into equal pieces; dealt out once, for the sums and for the values
+        pieces AS (
+          SELECT /*+ REPARTITION({group}, bucket, piece) */ * FROM (
+            SELECT {", ".join(f"c.`{k}`" for k in keys)}, c.bucket, value, n, low, high, part, before,
+                   coalesce(floor((x - least_x) / width * {_PIECES}), 0L) AS piece
+            FROM counts c JOIN wanted w ON {same_group} AND c.bucket = w.bucket
+          )
+        ),
+        sums AS (
+          SELECT {group}, bucket, piece, n, low, high,
+                 before + sum(n) OVER (PARTITION BY {group}, bucket ORDER BY piece) AS upto
+          FROM (
+            SELECT {group}, bucket, piece, sum(n) AS n, any_value(low) AS low,
+                   any_value(high) AS high, any_value(before) AS before
+            FROM pieces GROUP BY {group}, bucket, piece
+          )
+        ),
         ranked AS (
-          SELECT {", ".join(f"c.`{k}`" for k in keys)}, value, n, low, high, part,
-                 before + sum(n) OVER (
-                   PARTITION BY {", ".join(f"c.`{k}`" for k in keys)}, c.bucket ORDER BY value
+          SELECT {", ".join(f"c.`{k}`" for k in keys)}, value, c.n, c.low, c.high, part,
+                 w.upto - w.n + sum(c.n) OVER (
+                   PARTITION BY {", ".join(f"c.`{k}`" for k in keys)}, c.bucket, c.piece ORDER BY value
                  ) AS upto
-          FROM counts c JOIN wanted w ON {same_group} AND c.bucket = w.bucket
+          FROM pieces c JOIN sums w ON {same_group} AND c.bucket = w.bucket AND c.piece = w.piece
+          WHERE w.upto > w.low AND w.upto - w.n <= w.high
         ),
         ends AS (
           SELECT {group}, max(part) AS part,

@@ -80,3 +80,23 @@ def test_host_questions_have_no_per_host_row_lists(spark):
     areas = spark.createDataFrame([("a1", "A")], "lga_code string, lga_name string")
     plan = analysis.mortgage_coverage(facts, medians, areas)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "collect" not in plan
+
+
+def test_a_million_values_inside_one_bucket_are_cut_again(spark):
+    """Amounts within a thousandth of each other share a bucket; no ordered pass may see them all."""
+    n = 1_000_000
+    crowded = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.lit("a")).alias("k"),
+        (F.lit(5_000_000) + F.col("id").cast("decimal(18,4)") / 250).cast("decimal(18,4)").alias("v"),
+    )
+    got = exact_quantile(crowded, ["k"], "v", "m")
+    rows = {r.k: r.m for r in got.collect()}
+    own = {None: range(0, n, 3), "a": [i for i in range(n) if i % 3]}
+    for key, ids in own.items():
+        middle = (ids[(len(ids) - 1) // 2] + ids[len(ids) // 2]) / 2
+        assert rows[key] == pytest.approx(5_000_000 + middle / 250, abs=1e-9)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "ReusedExchange" in plan
+    # the last window orders the values of a piece: far fewer than the group's
+    windows = [line for line in plan.splitlines() if "Window [" in line and "value" in line]
+    assert windows and all("piece" in line for line in windows)
