@@ -13,6 +13,7 @@ from stratamart.operators.history import as_dimension, versions_from_history
 from stratamart.operators.storage import bounded_broadcast
 from stratamart.operators.temporal import as_of_join, published_until
 
+# Names of published columns, and how a place was matched.
 LISTING_ATTRIBUTES = (
     "listing_neighbourhood",
     "property_type",
@@ -21,6 +22,7 @@ LISTING_ATTRIBUTES = (
     "review_scores_rating",
 )
 HOST_ATTRIBUTES = ("host_name", "host_is_superhost", "host_neighbourhood")
+PLACE_MATCHES = ("lga_name", "suburb")
 NIGHTS = 30
 
 
@@ -72,25 +74,18 @@ def dim_area(areas: DataFrame) -> DataFrame:
 def dim_place(areas: DataFrame, suburbs: DataFrame) -> DataFrame:
     """Place name to area, one row per name key.
 
-    An area's own name beats a suburb of that name; a suburb lying in several areas goes to
-    the lowest code.
+    A name that areas bear belongs to the one of them with the lowest code. Any other name of a suburb belongs to the
+    area with the lowest code among those that the suburb lies in.
     """
-    named = areas.select(
-        name_key(F.col("lga_name")).alias("place_key"),
-        "lga_code",
-        "lga_name",
-        F.lit("lga_name").alias("match_type"),
-        F.lit(1).alias("priority"),
-    )
-    inside = suburbs.join(areas, "lga_name").select(
-        name_key(F.col("suburb_name")).alias("place_key"),
-        "lga_code",
-        "lga_name",
-        F.lit("suburb").alias("match_type"),
-        F.lit(2).alias("priority"),
-    )
-    order = [F.col(c).asc_nulls_last() for c in ("priority", "lga_code", "lga_name")]
-    return first_per_key(named.unionByName(inside), ["place_key"], order).drop("priority")
+    home = F.struct("lga_code", F.col("lga_name").isNull().alias("unnamed"), "lga_name")
+
+    def lowest(rows: DataFrame, name: str, match_type: str) -> DataFrame:
+        per_key = rows.groupBy(name_key(F.col(name)).alias("place_key")).agg(F.min(home).alias("home"))
+        return per_key.select("place_key", "home.lga_code", "home.lga_name", F.lit(match_type).alias("match_type"))
+
+    own = lowest(areas, "lga_name", PLACE_MATCHES[0])
+    inside = lowest(suburbs.join(areas, "lga_name"), "suburb_name", PLACE_MATCHES[1])
+    return own.unionByName(inside.join(own, "place_key", "left_anti"))
 
 
 def with_area_name(census: DataFrame, areas: DataFrame) -> DataFrame:
