@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from stratamart.plans import analysis, gold, marts, pipeline
 from stratamart.plans.silver import silver_census_medians, silver_census_persons, silver_listings
 from stratamart.plans.snapshots import advance_snapshot
 from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
-from stratamart.sources.bronze import load_listings_label, raw_listings
+from stratamart.sources.bronze import load_listings_label, load_listings_period, load_reference, raw_listings
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.periods import in_date_order
 from stratamart.sources.records import read_split_csv
@@ -334,6 +335,62 @@ def csv_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forms[0].unionByName(forms[1])
 
 
+def _delivery(rows_: DataFrame, folder: str) -> str:
+    rows_.write.option("header", True).option("escape", '"').csv(folder)
+    return folder
+
+
+def load_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month loaded from line items, then deliveries that must be refused or cut: what happened, and the rows that the
+    month holds after each."""
+    warehouse, folder = Warehouse(spark, fresh_path(spark, "warehouse")), fresh_path(spark, "guards")
+    period = dt.date(2020, 1, 1)
+    raw = written_once(_raw_text(spark, sf_dir).drop("load_month"), "raw")
+    good = _delivery(raw, f"{folder}/good.csv")
+    wide = _delivery(raw.withColumn("x", F.lit("more")), f"{folder}/wide.csv")
+    empty = _delivery(raw.where("false"), f"{folder}/empty.csv")
+    short = _delivery(raw.select(*LISTING_COLUMNS[:-1]), f"{folder}/short.csv")
+    cases = {
+        "whole delivery": lambda: load_listings_period(warehouse, good, period),
+        "rows too short": lambda: load_listings_period(warehouse, short, period),
+        "no rows": lambda: load_listings_period(warehouse, empty, period),
+        "not the first of a month": lambda: load_listings_period(warehouse, good, dt.date(2020, 1, 2)),
+        "no period label": lambda: load_listings_label(warehouse, folder, "13_2020"),
+        "unknown reference table": lambda: load_reference(warehouse, good, "no_such_table"),
+        "reference rows too long": lambda: load_reference(warehouse, wide, "lga_code_raw"),
+        "trailing cells cut": lambda: load_listings_period(warehouse, wide, period),
+        "the same again in splits": lambda: load_listings_period(warehouse, good, period, split_files=True),
+    }
+    found = []
+    for name, load in cases.items():
+        try:
+            load()
+            refused = False
+        except (ValueError, PySparkException):
+            refused = True
+        found.append((name, refused, raw_listings(warehouse).count()))
+    return spark.createDataFrame(found, "case string, refused boolean, rows_kept bigint")
+
+
+def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months loaded from line items: the rows that each load reports, those stored under its month, and those
+    stamped with the time of loading; and the registered reference files."""
+    warehouse, folder = Warehouse(spark, fresh_path(spark, "warehouse")), fresh_path(spark, "lineage")
+    started = spark.sql("select current_timestamp() as t").first().t
+    raw = written_once(_raw_text(spark, sf_dir).drop("load_month"), "raw")
+    loaded = []
+    for label, part in (("01_2020", F.col("availability_30") == "0"), ("02_2020", F.col("availability_30") != "0")):
+        _delivery(raw.where(part), f"{folder}/{label}.csv")
+        loaded.append((label, load_listings_label(warehouse, folder, label)))
+    reported = spark.createDataFrame(loaded, "label string, rows_loaded bigint")
+    stamped = F.count(F.when(F.col("loaded_at") >= F.lit(started), 1))
+    stored = raw_listings(warehouse).groupBy(F.date_format("load_month", "MM_yyyy").alias("label")).agg(
+        rows().alias("rows_stored"), stamped.alias("rows_stamped")
+    )
+    files = F.lit(",".join(sorted(REFERENCE_FILES)))
+    return reported.join(stored, "label").withColumn("reference_files", files)
+
+
 def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same delivery as one file, read in about 7 and about 40 splits whose borders fall anywhere."""
     path = _delivered(spark, sf_dir, 1)
@@ -945,6 +1002,8 @@ QUERIES: dict[str, Query] = {
     "silver_listings": silver_from_text,
     "positional_csv": positional_csv,
     "csv_any_size": csv_any_size,
+    "load_guards": load_guards,
+    "load_lineage": load_lineage,
     "csv_split_records": csv_split_records,
     "census_silver": census_silver,
     "period_replace": period_replace,
