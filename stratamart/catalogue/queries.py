@@ -40,10 +40,11 @@ from stratamart.plans.snapshots import advance_snapshot
 from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
 from stratamart.sources.bronze import load_listings_label, load_listings_period, load_reference, raw_listings
 from stratamart.sources.delimited import read_positional_csv
-from stratamart.sources.periods import in_date_order
+from stratamart.sources.periods import in_date_order, parse_period_label
 from stratamart.sources.records import read_split_csv
 from stratamart.sources.results import write_result_csv
 from stratamart.sources.tables import Warehouse, even_files
+from stratamart.streaming.stream import stream_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -391,6 +392,29 @@ def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reported.join(stored, "label").withColumn("reference_files", files)
 
 
+def arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered as months (by day of the month), landing in two goes; then all of it streamed once more from an
+    empty checkpoint, which must change nothing."""
+    warehouse, landing = Warehouse(spark, fresh_path(spark, "warehouse")), fresh_path(spark, "landing")
+    month = F.make_date(F.lit(2024), F.day("ts") % 12 + 1, F.lit(1))
+    events = written_once(table(spark, sf_dir, "events").select("event_id", "event_type", "value", month.alias("month")), "events")
+    months = [r.month for r in events.select("month").distinct().orderBy("month").collect()]
+
+    def load(label: str) -> None:
+        delivery = read_positional_csv(spark, f"{landing}/{label}.csv", ["event_id", "event_type", "value"])
+        period = F.lit(parse_period_label(label))
+        warehouse.replace("bronze.events", delivery.withColumn("load_month", period), "load_month")
+
+    checkpoint = fresh_path(spark, "stream")
+    for some in (months[::2], months[1::2]):
+        for period in some:
+            _delivery(events.where(F.col("month") == F.lit(period)).drop("month"), f"{landing}/{period:%m_%Y}.csv")
+        stream_arrivals(spark, landing, checkpoint, load)
+    stream_arrivals(spark, landing, fresh_path(spark, "stream"), load)
+    amount = F.sum(F.col("value").cast("decimal(18,2)"))
+    return published(warehouse.read("bronze.events").groupBy("load_month").agg(rows().alias("n"), amount.alias("amount")))
+
+
 def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same delivery as one file, read in about 7 and about 40 splits whose borders fall anywhere."""
     path = _delivered(spark, sf_dir, 1)
@@ -1002,6 +1026,7 @@ QUERIES: dict[str, Query] = {
     "silver_listings": silver_from_text,
     "positional_csv": positional_csv,
     "csv_any_size": csv_any_size,
+    "arrivals_stream": arrivals_stream,
     "load_guards": load_guards,
     "load_lineage": load_lineage,
     "csv_split_records": csv_split_records,
