@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratamart.functions import percent_of, ratio
 from stratamart.operators.ordering import numbered
 from stratamart.operators.storage import bounded_broadcast
-from stratamart.operators.temporal import as_of_join, trailing_months
+from stratamart.operators.temporal import trailing_months
 
 TRAILING_MONTHS = 12
 
