@@ -35,6 +35,7 @@ from stratamart.operators.history import (
 from stratamart.operators.storage import fresh_path, written_once
 from stratamart.operators.temporal import as_of_join, newest, published_until, trailing_months
 from stratamart.plans import analysis, gold, marts, pipeline
+from stratamart.plans.checks import rule_counts
 from stratamart.plans.silver import silver_census_medians, silver_census_persons, silver_listings
 from stratamart.plans.snapshots import advance_snapshot
 from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
@@ -988,6 +989,52 @@ def referential_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_relationship(child, "place", parent, "nation")
 
 
+def _planted(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables under a rule, with violations of most rules planted in them."""
+
+    def twice(df: DataFrame, where: Column) -> DataFrame:
+        copies = F.array_repeat(F.lit(1), F.when(where, 2).otherwise(1))
+        return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
+
+    def wide(df: DataFrame) -> DataFrame:
+        return twice(df, F.col("month") >= "1998-01-01")
+
+    stored = silver_table(spark, sf_dir)
+    codes, named = areas(spark, sf_dir), places(spark, sf_dir)
+    fact = written_once(gold.fact_listing_monthly(stored, named), "fact")
+    hosts = written_once(gold.host_versions(stored), "hosts")
+    listings = written_once(gold.listing_versions(stored), "listings")
+    last = newest(stored, "month_key")
+    listing_month = written_once(gold.int_listing_month(fact, listings, hosts, last), "listing-month")
+    raw = listing_rows(spark, sf_dir).select(
+        F.when(F.col("l_linenumber") != 7, F.col("listing_id")).alias("listing_id"), F.col("month_key").alias("load_month")
+    )
+    stray = F.when(F.col("listing_id") % 50 == 0, -F.col("host_id")).otherwise(F.col("host_id"))
+    return {
+        "bronze.listings_raw": raw,
+        "silver.silver_listings": twice(stored, F.col("host_id") % 10 == 0),
+        "silver.silver_lga_code": twice(
+            codes.withColumn("lga_code", F.nullif("lga_code", F.lit("LGA00003"))), F.col("lga_name") < "F"
+        ),
+        "gold.dim_lga": twice(codes.where("lga_code <> 'LGA00007'"), F.col("lga_code") > "LGA00020"),
+        "gold.dim_place": twice(
+            named.withColumn("lga_code", F.nullif("lga_code", F.lit("LGA00004"))), F.col("match_type") == "suburb"
+        ),
+        "gold.fact_listing_monthly": twice(fact.withColumn("host_id", stray), F.col("listing_id") % 30 == 0),
+        "gold.int_listing_month": listing_month.where("listing_id % 100 <> 1"),
+        "gold.dim_listing": listings.where("valid_from <> '1995-03-01'"),
+        "gold.dim_host": twice(hosts.withColumn("valid_to", F.add_months("valid_to", 1)), F.col("host_id") % 7 == 0),
+        "gold.dm_listing_neighbourhood": wide(marts.dm_listing_neighbourhood(listing_month)),
+        "gold.dm_property_type": wide(marts.dm_property_type(listing_month)),
+        "gold.dm_host_neighbourhood": wide(marts.dm_host_neighbourhood(fact, hosts, named, last)),
+    }
+
+
+def build_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules of a build as one result, over tables in which most are broken."""
+    return rule_counts(_planted(spark, sf_dir), dt.date(1998, 6, 1))
+
+
 def scd2_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host versions that end one month late and so run into the next version."""
     versions = gold.host_versions(silver(spark, sf_dir)).withColumn(
@@ -1080,4 +1127,5 @@ QUERIES: dict[str, Query] = {
     "scd2_overlap": scd2_overlap,
     "scd2_overlap_pairs": scd2_overlap_pairs,
     "coverage_gap": coverage_gap,
+    "build_checks": build_checks,
 }

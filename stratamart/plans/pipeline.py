@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.storage import written_once
 from stratamart.plans import analysis, gold, marts, silver
-from stratamart.plans.checks import failing_rows, require_all
+from stratamart.plans.checks import require_all, rule_counts
 from stratamart.plans.snapshots import advance_snapshot, rebuild_snapshot
 from stratamart.schemas import LISTINGS_FOLDER, LISTINGS_TABLE, REFERENCE_FILES
 from stratamart.sources.bronze import (
@@ -277,7 +277,7 @@ def tables(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 def check(warehouse: Warehouse) -> None:
     """Run every check; raise when one fails."""
-    require_all(failing_rows(tables(warehouse), newest_loaded_period(warehouse)))
+    require_all(rule_counts(tables(warehouse), newest_loaded_period(warehouse)))
 
 
 def backfill(
