@@ -9,7 +9,9 @@ both share. Sets travel only to the buckets where their text has a pair to verif
 A bucket of any size is cut into blocks of about ``BLOCK`` texts, and each pair of blocks is one unit of work for any
 task; texts are compared inside it as arrays. What leaves a unit is, per text, the number of links found and one edge
 to the smallest text it is connected with there: rows grow with a bucket's texts, not with its pairs, and no link is
-lost. Classes are the connected components of the edges, contracted round by round in written tables.
+lost. Classes are the connected components of the edges, contracted round by round in written tables. Where classes
+alone are wanted (``one_per_class``), texts meet the smallest text of each bucket first, and after that only those in
+different components: a group of near copies costs rows in proportion to its texts.
 
 * null and empty texts, and texts without words: a class of their own, no links. Null ids: handled by their words;
   the class of such rows alone has a null class id.
@@ -258,52 +260,131 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
-def linked_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """Two tables. Per document: doc_id, node. Per text: node, class_id, n_links, first_id, first_rows, and
-    speaks, whether it is the one text that stands for its class."""
-    spark = docs.sparkSession
-    bands, rows = bands_and_rows(similarity, recall)
-    texts = docs.select("doc_id", "text")
-    signed = stored(texts.select("doc_id", signatures(spark, bands, rows)("text").alias("s")).select("doc_id", "s.*"), "signatures")
+def _texts(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Two tables. Per document: doc_id, node, bands. Per text: node, copies, first_id, first_rows, bands."""
+    sign = signatures(docs.sparkSession, bands, rows)
+    signed = stored(docs.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*"), "signatures")
     per_id = signed.where("node IS NOT NULL").groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "n"))
     nodes = per_id.groupBy("node").agg(F.sum("n").alias("copies"), smallest.alias("f"), F.first("bands").alias("bands"))
-    nodes = stored(nodes.select("node", "copies", F.col("f.doc_id").alias("first_id"), F.col("f.n").alias("first_rows"), "bands"), "texts")
+    return signed, stored(nodes.select("node", "copies", F.col("f.doc_id").alias("first_id"), F.col("f.n").alias("first_rows"), "bands"), "texts")
 
+
+def _met(nodes: DataFrame) -> DataFrame:
+    """Texts in buckets of two or more: node, band, key, the bucket's blocks and its smallest text, the hub."""
     spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    crowded = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
     crowded = crowded.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    met = stored(spread.join(small_side(stored(crowded, "buckets")), ["band", "key"]).select("node", "band", "key", "blocks"), "met")
+    joined = spread.join(small_side(stored(crowded, "buckets")), ["band", "key"])
+    return stored(joined.select("node", "band", "key", "blocks", "hub"), "met")
 
-    block = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    units = met.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+def _open_units(units: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of the units (UNIT, block, node) that have a pair to verify there."""
     units = units.select("node", "band", "key", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    hashes = nodes.select("node", "bands")
-    sorted_units = units.join(hashes, "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    sorted_units = units.join(nodes.select("node", "bands"), "node").repartition(*UNIT).sortWithinPartitions(*UNIT)
     kept = "band int, key long, first int, second int, block int, node binary"
-    open_units = stored(sorted_units.mapInArrow(_by_unit(_with_fresh_pairs), kept), "units")
+    return stored(sorted_units.mapInArrow(_by_unit(_with_fresh_pairs), kept), "units")
+
 
-    wanted = stored(open_units.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "wanted")
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, grams of the texts named by ``wanted``; each text is read at the smallest of its ids."""
+    wanted = stored(wanted.select("node").distinct().join(nodes.select("node", "first_id"), "node"), "wanted")
     by_id = wanted.select(F.col("first_id").alias("_id")).distinct()
-    sets = texts.join(small_side(by_id), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = sets.select(text_sets(spark)("text").alias("s")).select("s.*")
+    sets = docs.select("doc_id", "text").join(small_side(by_id), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = sets.select(text_sets(docs.sparkSession)("text").alias("s")).select("s.*")
     sets = sets.join(small_side(wanted.select("node")), "node", "left_semi")
-    sets = stored(sets.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
-    full = open_units.join(sets.join(nodes.select("node", "copies", "bands"), "node"), "node")
+    return stored(sets.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
+
+
+def _verified_units(units: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """node, least, links: for each text of a unit that has links there, one edge and their number."""
+    full = units.join(sets.join(nodes.select("node", "copies", "bands"), "node"), "node")
     sorted_units = full.repartition(*UNIT).sortWithinPartitions(*UNIT)
-    verified = stored(sorted_units.mapInArrow(_by_unit(_verified(similarity)), "node binary, least binary, links long"), "links")
+    return stored(sorted_units.mapInArrow(_by_unit(_verified(similarity)), "node binary, least binary, links long"), "links")
+
+
+def linked_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """Two tables. Per document: doc_id, node. Per text: node, class_id, n_links."""
+    signed, nodes = _texts(docs, *bands_and_rows(similarity, recall))
+    block = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    units = _met(nodes).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    open_units = _open_units(units, nodes)
+    verified = _verified_units(open_units, nodes, _sets(docs, nodes, open_units), similarity)
 
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(verified)
-    found = nodes.select("node", "copies", "first_id", "first_rows").join(links, "node", "left").join(roots, "node", "left")
+    found = nodes.select("node", "copies", "first_id").join(links, "node", "left").join(roots, "node", "left")
     found = stored(found.withColumn("root", F.coalesce("root", "node")), "found")
-    speaker = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "node"))
-    names = found.groupBy("root").agg(speaker.alias("s")).select("root", F.col("s.first_id").alias("class_id"), F.col("s.node").alias("speaker"))
+    speaker = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id"))
+    names = found.groupBy("root").agg(speaker.alias("s")).select("root", F.col("s.first_id").alias("class_id"))
     n_links = F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1
-    per_text = found.join(names, "root").select("node", "class_id", n_links.alias("n_links"), "first_id", "first_rows", (F.col("node") == F.col("speaker")).alias("speaks"))
+    per_text = found.join(names, "root").select("node", "class_id", n_links.alias("n_links"))
     return signed.select("doc_id", "node"), stored(per_text, "classes")
 
 
+def _star_units(met: DataFrame) -> DataFrame:
+    """Units in which each text meets the hubs of its buckets: rows grow with the texts, whatever the size of a bucket.
+
+    A hub's texts are cut into blocks, and the hub goes to each of them.
+    """
+    pairs = stored(met.where("node != hub").select("node", "hub").distinct(), "pairs")
+    sized = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    sized = stored(sized, "hubs")
+    key, zero = F.xxhash64("hub").alias("key"), F.lit(0)
+    part = (F.pmod(F.xxhash64("node"), F.col("blocks")) + 1).cast("int")
+    leaves = pairs.join(small_side(sized), "hub").select("node", key, part.alias("second"), part.alias("block"))
+    centres = sized.select(
+        F.col("hub").alias("node"), key, F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("second"), zero.alias("block")
+    )
+    both = leaves.unionByName(centres)
+    return both.select(zero.alias("band"), "key", zero.alias("first"), "second", "block", "node")
+
+
+def _rest_units(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """What the hubs have left open: of each bucket without its hub, the pairs of texts that no component joins.
+
+    The texts of a bucket's largest component meet the others only, never one another.
+    """
+    member = met.where("node != hub").select("node", "band", "key").join(roots, "node", "left")
+    member = stored(member.withColumn("root", F.coalesce("root", "node")), "members")
+    per_root = member.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
+    buckets = per_root.groupBy("band", "key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    buckets = buckets.where("main.n < n").select(
+        "band",
+        "key",
+        F.col("main.root").alias("main"),
+        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("odd_blocks"),
+    )
+    met_again = member.join(small_side(stored(buckets, "open-buckets")), ["band", "key"])
+    odd, salt = F.col("root") != F.col("main"), F.xxhash64("node", "key")
+    block = F.when(odd, F.pmod(salt, "odd_blocks")).otherwise(F.col("odd_blocks") + F.pmod(salt, "main_blocks")).cast("int")
+    last = F.col("odd_blocks") - 1 + F.when(odd, F.col("main_blocks")).otherwise(0)
+    return met_again.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+
+
+def speakers(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """node, first_id, first_rows of the one text that stands for its class: the classes of ``linked_texts``, without counts.
+
+    Links are not counted, so a pair that other links join already need not be verified: every text meets the hub of
+    each of its buckets first, and only pairs still in different components meet after that.
+    """
+    _, nodes = _texts(docs, *bands_and_rows(similarity, recall))
+    met = _met(nodes)
+    sets = _sets(docs, nodes, met)
+    roots = stored(components(_verified_units(_star_units(met), nodes, sets, similarity)), "roots")
+    rest = _verified_units(_open_units(_rest_units(met, roots), nodes), nodes, sets, similarity)
+    for end in ("node", "least"):
+        above = roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        rest = rest.join(above, end, "left").withColumn(end, F.coalesce(f"_{end}", end))
+    tops = components(rest).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    found = nodes.select("node", "first_id", "first_rows").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = found.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root"))
+    speaker = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "node", "first_rows"))
+    return stored(found.groupBy("root").agg(speaker.alias("s")).select("s.node", "s.first_id", "s.first_rows"), "speakers")
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, n_links (other documents at least so similar)."""
     per_document, per_text = linked_texts(docs, similarity, recall)
@@ -318,10 +399,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
 def one_per_class(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The row with the smallest id of each class, and all rows without words; columns as they came."""
     spark = docs.sparkSession
-    _, per_text = linked_texts(docs, similarity, recall)
+    own = speakers(docs, similarity, recall).withColumnRenamed("node", "_node")
     packed = docs.select(F.struct(*own_columns(docs)).alias("_row"), signatures(spark, 1, 1)("text").alias("_s"))
     named = packed.select("_row", F.col("_s.node").alias("node"), F.col("_row.doc_id").alias("_id"))
-    own = per_text.where("speaks").select(F.col("node").alias("_node"), "first_id", "first_rows")
     kept = named.join(small_side(own), (F.col("node") == F.col("_node")) & F.col("_id").eqNullSafe(F.col("first_id")))
     single = kept.where("first_rows = 1").select("_row")
     repeated = kept.where("first_rows > 1").dropDuplicates(["node"]).select("_row")

@@ -78,6 +78,39 @@ def test_a_large_group_loses_no_link(make, monkeypatch, block):
     assert Counter(map(tuple, got)) == joined_by_hand(rows)
 
 
+def kept_and_named(make, rows):
+    """Ids that stay, and the class ids that the join with counts names."""
+    df = make(rows).repartition(4)
+    kept = sorted(r.doc_id for r in jaccard_join.one_per_class(df).collect())
+    return kept, sorted({r.class_id for r in jaccard_join.classes(df).collect()})
+
+
+def test_texts_that_only_others_than_the_hub_link(make, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    # texts drifting word by word: neighbours are similar, far ones are not, so one hub cannot join them
+    words = [f"w{k}" for k in range(160)]
+    rows = [(k, " ".join(words[k : k + 60])) for k in range(0, 100, 2)]
+    rows += [(1000 + k, " ".join(words[3 * k : 3 * k + 60]) + " x" * (k % 2)) for k in range(30)]
+    kept, named = kept_and_named(make, rows)
+    assert kept == named == sorted({c for _, c, _ in joined_by_hand(rows)})
+
+
+def test_near_copies_cost_rows_in_proportion(make, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 20)
+    template, n = [f"t{k}" for k in range(120)], 400
+    docs = make([(k, " ".join([*template[:60], f"own{k}", *template[60:]])) for k in range(n)])
+    bands, rows = jaccard_join.bands_and_rows()
+    _, nodes = jaccard_join._texts(docs, bands, rows)
+    met = jaccard_join._met(nodes)
+    star = jaccard_join._star_units(met)
+    # each text once per hub at most, and a hub once per block of its texts
+    assert star.count() < (1 + 2 / 20) * bands * n
+    verified = jaccard_join._verified_units(star, nodes, jaccard_join._sets(docs, nodes, met), 0.8)
+    roots = jaccard_join.components(verified)
+    assert roots.count() == n and roots.select("root").distinct().count() == 1
+    assert jaccard_join._rest_units(met, roots).isEmpty()
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard_join.bands_and_rows()
     assert bands * rows <= jaccard_join.MOST_HASHES
