@@ -169,6 +169,17 @@ def test_q2(spark):
     assert same.n_lgas == 1 and same.corr_rev_age is None
 
 
+def test_q2_without_spread_has_no_correlation(spark):
+    rows = [(month(1), 1, 1, c, True, 1, v) for c, v in (("a", "10"), ("b", "20"), ("c", "40"))]
+    one_age = census(spark, [("a", "A", 30, 1, 1.0), ("b", "B", 30, 1, 1.0), ("c", "C", 30, 1, 1.0)])
+    row = analysis.age_revenue_correlation(fact(spark, rows), one_age).first()
+    assert tuple(row) == (3, Decimal("23.33"), Decimal("30.00"), None)
+    ages = census(spark, [("a", "A", 30, 1, 1.0), ("b", "B", 40, 1, 1.0), ("c", "C", 41, 1, 1.0)])
+    one_revenue = [(*r[:-1], "10") for r in rows]
+    row = analysis.age_revenue_correlation(fact(spark, one_revenue), ages).first()
+    assert tuple(row) == (3, Decimal("10.00"), Decimal("37.00"), None)
+
+
 def test_q3_uses_the_plain_mean_of_monthly_means(spark):
     versions = spark.createDataFrame(
         [(1, "good", "flat", "all", 2, month(1), month(2)), (1, "good", "house", "all", 4, month(2), None),
