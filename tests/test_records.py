@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from stratamart.catalogue.queries import _delivered
+from stratamart.sources import records
 from stratamart.sources.delimited import read_positional_csv
 from stratamart.sources.records import block_states, csv_records, read_split_csv, staged_lines
 
@@ -63,3 +65,38 @@ def test_short_rows_fail_and_blank_ones_go(spark, tmp_path):
     (tmp_path / "f.csv").write_text("A,B\n1,x\n2\n")
     with pytest.raises(Exception, match="does not have 2 cells"):
         read_split_csv(spark, str(tmp_path), ["a", "b"], split_bytes=9).collect()
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_lines_are_ordered_in_short_chunks_of_a_large_block(spark, tmp_path, monkeypatch, bits):
+    """One block of many chunks: records cross the borders of chunks, and some are longer than a chunk."""
+    monkeypatch.setattr(records, "_CHUNK_BITS", bits)
+    path = made_file(tmp_path / "f.csv", 120, 8, cells=[*CELLS[:-2], '"' + "x\n" * 20 + '"'])
+    lines = staged_lines(spark, str(path))
+    assert lines.select("block").distinct().count() == 1
+    assert lines.groupBy("chunk").count().agg({"count": "max"}).first()[0] <= 1 << bits
+    states = block_states(lines)
+    assert states.count() == lines.select("chunk").distinct().count() and states.where("opens").count() > 0
+    assert states.where("first").count() == 1
+    got = as_tuples(read_split_csv(spark, str(path), ["a", "b", "c"]))
+    assert got == as_tuples(read_positional_csv(spark, str(path), ["a", "b", "c"])) and len(got) == 120
+
+
+def test_deliveries_begin_with_their_header_and_are_written_unsorted(spark, tmp_path):
+    spark.range(300).selectExpr("id AS l_orderkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber").write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    for files in (1, 4):
+        whole = spark.read.text(_delivered(spark, str(tmp_path), files), wholetext=True).collect()
+        assert len(whole) == files
+        for text in (r.value for r in whole):
+            assert text.startswith("\ufeffORDER,NOTE,LINE\n") and text.count("ORDER") == 1
+        keys = sum(len([x for x in r.value.split("\n") if x[:1].isdigit()]) for r in whole)
+        assert keys == sum(1 for i in range(300) if i % 7 != 6)
+
+
+def test_a_record_is_parsed_once(spark, tmp_path):
+    path = made_file(tmp_path / "f.csv", 20, 9)
+    rows = read_split_csv(spark, str(path), ["a", "b", "c"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") <= 2 * plan.count("Generate inline")
