@@ -162,7 +162,7 @@ def _one_rule(rule: str, failing: DataFrame, n: Column) -> DataFrame:
 def _orphans(counted: Mapping[str, DataFrame], child: str, column: str, parent: str, parent_column: str) -> DataFrame:
     held = _counts(counted, child, (column,)).where(F.col(column).isNotNull()).select(F.col(column).alias("_held"), "n")
     known = _counts(counted, parent, (parent_column,)).select(F.col(parent_column).alias("_known"))
-    return held.join(known, F.col("_held") == F.col("_known"), "left_anti")
+    return held.join(known.hint("merge"), F.col("_held") == F.col("_known"), "left_anti")
 
 
 def _overlapping(counted: Mapping[str, DataFrame]) -> DataFrame:
@@ -191,7 +191,7 @@ def _uncovered(counted: Mapping[str, DataFrame], until: dt.date) -> DataFrame:
     return seen.join(known, F.col("_seen") == F.col("_known"), "left_anti")
 
 
-def rule_counts(tables: Mapping[str, DataFrame], until: dt.date, at_once: int = 8) -> DataFrame:
+def rule_counts(tables: Mapping[str, DataFrame], until: dt.date, at_once: int = 3) -> DataFrame:
     """(rule, failing), one row for each of the 26 rules; 0 for a rule that holds.
 
     ``failing`` counts rows with a NULL, keys that repeat, child rows without a parent, versions that overlap a later one,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratamart.operators.metrics import exact_quantile
+from stratamart.operators.storage import bounded_broadcast
 from stratamart.operators.temporal import as_of_join
 from stratamart.plans import analysis
 
@@ -100,3 +101,26 @@ def test_a_million_values_inside_one_bucket_are_cut_again(spark):
     # the last window orders the values of a piece: far fewer than the group's
     windows = [line for line in plan.splitlines() if "Window [" in line and "value" in line]
     assert windows and all("piece" in line for line in windows)
+
+
+def test_versions_are_not_broadcast_on_the_size_of_their_files(spark, tmp_path):
+    """Histories pack to a few bytes a row; listed by month they would fill the driver."""
+    versions = spark.range(300).selectExpr(
+        "id AS host_id", "DATE'2000-01-01' AS valid_from", "CAST(NULL AS DATE) AS valid_to", "'x' AS name"
+    )
+    versions.write.parquet(str(tmp_path / "v"))
+    versions = spark.read.parquet(str(tmp_path / "v"))
+    facts = spark.range(600).selectExpr("id % 310 AS host_id", "add_months(DATE'2020-01-01', CAST(id % 12 AS INT)) AS month")
+    found = []
+    for spread in (True, False):
+        joined = as_of_join(facts, versions, "host_id", "month", "left", dt.date(2020, 12, 1), "month", spread=spread)
+        found.append(sorted((r.host_id, r.month, r.name or "") for r in joined.collect()))
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert found[0] == found[1] and len(found[0]) == 600 and sum(r[2] == "" for r in found[0]) > 0
+
+
+def test_a_side_over_the_bound_is_not_broadcast_for_its_small_files(spark):
+    large, other = spark.range(40).withColumnRenamed("id", "k"), spark.range(100).withColumnRenamed("id", "k")
+    joined = other.join(bounded_broadcast(large, 10), "k")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in other.join(bounded_broadcast(large, 40), "k")._jdf.queryExecution().executedPlan().toString()
