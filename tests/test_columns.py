@@ -92,3 +92,9 @@ def test_percent_change(spark):
     change = fn.percent_change(F.col("now"), F.col("before"))
     rows = df.select("i", change.alias("c")).orderBy("i").collect()
     assert [r.c for r in rows] == [Decimal(50), None, None, Decimal("-66.67")]
+
+
+def test_layouts_are_one_pattern_whatever_their_groups(spark):
+    layouts = [(r"^(\d{4})\.(\d{2})\.(\d{2})\z", "$1-$2-$3"), (r"^(\d{2})/(\d{2})/(\d{4})\z", "$3-$1-$2")]
+    got = apply(spark, lambda c: fn.parse_date_multi(c, layouts), ["2020.05.11", "05/11/2020", "2020-05-11", "a\n2020.05.11", "\n"])
+    assert got == [dt.date(2020, 5, 11), dt.date(2020, 5, 11), None, None, None]

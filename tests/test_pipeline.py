@@ -2,15 +2,18 @@
 
 import datetime as dt
 import random
+import re
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.plans import gold, marts, pipeline
+from stratamart.operators.storage import shared_folder
+from stratamart.plans import gold, marts, pipeline, silver
 from stratamart.plans.checks import ChecksFailed
 from stratamart.schemas import LISTING_COLUMNS, REFERENCE_FILES
-from stratamart.sources.bronze import load_listings_label, load_listings_period, load_reference
+from stratamart.sources.bronze import listings_schema, load_listings_label, load_listings_period, load_reference
 from stratamart.sources.tables import Warehouse
 from stratamart.streaming.arrivals import load_arrivals
 
@@ -260,3 +263,23 @@ def test_arrivals_load_like_batch_runs(spark, tmp_path):
     (landing / "notes.csv").write_text(text)
     with pytest.raises(ValueError):
         arrive()
+
+
+def test_the_typed_projection_is_short_enough_for_the_jvm_to_compile(spark):
+    raw = spark.createDataFrame([], listings_schema())
+    plan = silver.typed_listings(raw)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000
+
+
+def test_a_changed_file_is_not_stored_between_text_and_silver(spark, built, tmp_path):
+    shutil.copytree(built[0].root, tmp_path / "warehouse")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    before = set(Path(shared_folder(spark), "stratamart").glob("changed-files-*"))
+    load_listings_label(warehouse, f"{built[1]}/listings", LABELS[-1])
+    pipeline.build(warehouse, changed=[PERIODS[-1]])
+    assert set(Path(shared_folder(spark), "stratamart").glob("changed-files-*")) == before
+    assert state(warehouse) == built[3]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
