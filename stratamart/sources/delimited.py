@@ -73,7 +73,7 @@ def checked_rows(rows: DataFrame, columns: Sequence[str], cut_extra: bool) -> Da
     accepted = cells > len(columns) if cut_extra else F.lit(False)
     # most rows show by their first cell that they are not blank, without all cells put together
     first = F.coalesce(F.col(columns[0]).rlike(r"(?U)\S"), F.lit(False))
-    filled = F.when(odd, F.regexp_replace(_RAW, r'(?U)[",\s]', "") != "").otherwise(
+    filled = F.when(odd, F.col(_RAW).rlike(r'(?U)[^",\s]')).otherwise(
         first | F.concat_ws("", *[F.col(c) for c in columns]).rlike(r"(?U)\S")
     )
     refused = F.raise_error(
