@@ -286,3 +286,81 @@ def test_an_id_on_many_rows_teaches_a_language_once(make, fitted):
     assert fitted == [(20, 20)]
     model = language_id.train(make(rows + again + [(i, "42", "de", "a") for i in range(110, 170)]), per_language=200)
     assert model.languages == ["de", "en"] and sum(fitted[1]) == sum(fold(i, 3) != 1 for i, *_ in rows)
+
+
+# ---- nothing labelled is left out of the toxicity fit -------------------------------------------
+
+
+def test_every_labelled_row_and_feature_teaches_toxicity(make, labels_of, fitted, monkeypatch):
+    ids = range(20_000, 23_500)
+    texts = {i: prose(i % 97, 4) + (" stupid" if i % 10 == 0 else "") for i in ids}
+    labels = labels_of([(i, 1, int(i % 10 == 0)) for i in ids])
+    held, own = [], toxicity.balanced_cut
+
+    def cut(toxic, clean):
+        held.append((len(toxic), len(clean)))
+        return own(toxic, clean)
+
+    monkeypatch.setattr(toxicity, "balanced_cut", cut)
+    docs = make([(i, text, "en", "a") for i, text in texts.items()])
+    weights, _ = toxicity.train(docs, labels)
+    learnt = [i for i in ids if fold(i, 5)]
+    part = {r._id for r in toxicity.learning_labels(labels).where(toxicity.sets_cut(toxicity.F.col("_id"))).collect()}
+    count = lambda chosen: (sum(i % 10 == 0 for i in chosen), sum(i % 10 > 0 for i in chosen))
+    assert fitted == [count([i for i in learnt if i not in part])] and fitted[0][1] > 2000
+    assert held == [count(part)] and held[0][1] > 500
+    # any feature that is not equally common in both classes has a weight, however near its ratio is to 0
+    counts = np.zeros((2, toxicity.N_BUCKETS))
+    for i in learnt:
+        if i not in part:
+            (block,) = blocks(pa.array([texts[i]]))
+            counts[int(i % 10 == 0), toxicity.distinct_features(block)[0]] += 1
+    ratio = toxicity.log_ratios(counts, min(toxicity.SMOOTHING, fitted[0][0] / 4))
+    near = (np.abs(ratio) > 1e-4) & (np.abs(ratio) < 0.3)
+    assert near.sum() > 20 and np.count_nonzero(weights[near]) == near.sum()
+    assert not weights[counts.sum(axis=0) == 0].any()
+
+
+def test_lists_of_buckets_are_read_as_written():
+    rows = [[], [0], [5, 6, 70_000, 1_048_575], [], [1_048_575], [65_535, 131_070], list(range(0, 1 << 20, 997)), []]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    gaps, last = toxicity.packed(np.array(sum(rows, []), dtype=np.uint32), at)
+    for chosen in (range(len(rows)), (2, 5, 0, 6), (3,), ()):
+        chosen = list(chosen)
+        index, offsets = toxicity.unpacked(gaps.take(pa.array(chosen, pa.int32())), last[chosen])
+        assert [index[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [rows[i] for i in chosen]
+    index, offsets = toxicity.unpacked(gaps.slice(2, 4), last[2:6])
+    assert [index[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == rows[2:6]
+
+
+def test_passes_over_a_table_fit_as_one_process_does(spark):
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 40, size=rng.integers(0, 12))) for _ in range(300)]
+    sides = np.array([1 if rng.random() < (0.9 if 3 in r else 0.2) else -1 for r in rows])
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    index = np.concatenate(rows)
+    ratio = np.zeros(toxicity.N_BUCKETS)
+    ratio[:40] = rng.normal(size=40)
+    gaps, last = toxicity.packed(index.astype(np.uint32), at)
+    listed = spark.createDataFrame([(int(s > 0), int(e), g.as_py()) for s, e, g in zip(sides, last, gaps)], "toxic int, last int, gaps binary")
+    found = toxicity._Scaled(listed.repartition(5), ratio)
+    shares = {1: 0.5 / (sides > 0).sum(), -1: 0.5 / (sides < 0).sum()}
+    share = np.where(sides > 0, shares[1], shares[-1])
+    dense = np.zeros((300, 40))
+    dense[np.repeat(np.arange(300), np.diff(at)), index] = ratio[index]
+
+    def brute(weights, bias):
+        margin = sides * (dense @ weights + bias)
+        slope = -sides * share / (1 + np.exp(margin))
+        return share @ np.log1p(np.exp(-margin)), dense.T @ slope, slope.sum()
+
+    weights = np.zeros(toxicity.N_BUCKETS)
+    weights[:40] = rng.normal(size=40)
+    for got, expected in zip(found.evaluate(weights, 0.3, shares), brute(weights[:40], 0.3)):
+        assert np.asarray(got).ravel()[:40] == pytest.approx(np.asarray(expected).ravel(), rel=1e-4, abs=1e-6)
+    fitted_weights, bias = toxicity.fit(found, sides.astype(np.int8), penalty=1e-2, steps=60)
+    _, slopes, bias_slope = brute(fitted_weights[:40], bias)
+    start = np.linalg.norm(np.append(*brute(np.zeros(40), 0.0)[1:]))
+    assert np.linalg.norm(np.append(slopes + 1e-2 * fitted_weights[:40], bias_slope)) < 2e-3 * start
+    one, one_bias = fit(Rows(index, ratio[index], at, 40), sides, "logistic", penalty=1e-2, steps=3000)
+    assert fitted_weights[:40] == pytest.approx(one, abs=0.02) and bias == pytest.approx(one_bias, abs=0.02)
