@@ -321,7 +321,16 @@ def test_every_labelled_row_and_feature_teaches_toxicity(make, labels_of, fitted
     assert not weights[counts.sum(axis=0) == 0].any()
 
 
-def test_lists_of_buckets_are_read_as_written():
+def test_lists_of_features_are_gone_after_training(spark, make, labels_of, tmp_path, monkeypatch):
+    from stratamart.llm import storage
+
+    rows = [(i, prose(i, 20) + (" stupid" if i % 2 else ""), "en", "a") for i in range(4000, 4100)]
+    monkeypatch.setattr(storage, "fresh_path", lambda _, label: str(tmp_path / "shared" / label))
+    weights, _ = toxicity.train(make(rows + rows[:10]), labels_of([(i, 1, i % 2) for i in range(4000, 4100)]), per_class=20)
+    assert weights.any() and not list((tmp_path / "shared").rglob("*.parquet"))
+
+
+def test_lists_of_buckets_are_read_as_written(monkeypatch):
     rows = [[], [0], [5, 6, 70_000, 1_048_575], [], [1_048_575], [65_535, 131_070], list(range(0, 1 << 20, 997)), []]
     at = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
     gaps, last = toxicity.packed(np.array(sum(rows, []), dtype=np.uint32), at)
@@ -329,6 +338,11 @@ def test_lists_of_buckets_are_read_as_written():
         chosen = list(chosen)
         index, offsets = toxicity.unpacked(gaps.take(pa.array(chosen, pa.int32())), last[chosen])
         assert [index[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [rows[i] for i in chosen]
+    monkeypatch.setattr(toxicity, "PIECE_BYTES", 16)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(last), gaps], names=["toxic", "last", "gaps"])
+    pieces = list(toxicity._listed([batch, batch.slice(2, 3)]))
+    read = [(t, index[a:b].tolist()) for toxic, index, offsets in pieces for t, a, b in zip(toxic, offsets, offsets[1:])]
+    assert read == [(i, rows[i]) for i in [*range(len(rows)), 2, 3, 4]] and len(pieces) > 4
     index, offsets = toxicity.unpacked(gaps.slice(2, 4), last[2:6])
     assert [index[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == rows[2:6]
 
